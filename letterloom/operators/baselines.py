@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from letterloom.operators.contacts import address_book_head
 from letterloom.operators.reshape import seeded_order
-from letterloom.operators.skew import hot_keys, rank_within, skew_join, top_k
+from letterloom.operators.skew import hot_keys, rank_within, skew_join, stage, top_k
 
 
 def hash_long(*parts: Column | str, seed: int, tag: str) -> Column:
@@ -38,15 +38,16 @@ def random_baseline(messages: DataFrame, users: DataFrame, k: int = 10, seed: in
     all users.
     """
     ring = rank_within(users, [], [seeded_order("user", seed=seed), F.col("user")], rank="_idx")
-    ring = ring.select((F.col("_idx") - 1).alias("_idx"), F.col("user").alias("contact"))
-    size = users.agg(F.count(F.lit(1))).scalar()
-    picks = F.least(size, F.lit(k)).cast("int")
+    ring = stage(ring.select((F.col("_idx") - 1).alias("_idx"), F.col("user").alias("contact")), "user-ring")
+    size = ring.agg(F.count(F.lit(1))).scalar()
     draws = (
-        messages.select("mid", size.alias("_size"), picks.alias("_picks"))
-        .where("_picks > 0")
-        .withColumn("rank", F.explode(F.sequence(F.lit(1), F.col("_picks"))))
+        messages.select("mid", size.alias("_size"))
+        .withColumn("_picks", F.least(F.col("_size"), F.lit(k).cast("bigint")))
         .withColumn("_step", ring_stride("mid", F.col("_size"), F.col("_picks"), seed))
-        .withColumn("_idx", (hash_long("mid", seed=seed, tag="start") % F.col("_size") + (F.col("rank") - 1) * F.col("_step")) % F.col("_size"))
+        .withColumn("_start", hash_long("mid", seed=seed, tag="start"))
+        .where("_picks > 0")
+        .withColumn("rank", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_picks"))))
+        .withColumn("_idx", (F.col("_start") % F.col("_size") + (F.col("rank") - 1) * F.col("_step")) % F.col("_size"))
     )
     return draws.join(ring, "_idx").select("mid", "rank", "contact")
 

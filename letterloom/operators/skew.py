@@ -15,10 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# A key is hot when it owns more than this share of the rows, so there are at
-# most HOT_FAN hot keys whatever the data size: their table is safe to broadcast.
-HOT_FAN = 256
-
 _local_root: dict[str, str] = {}
 
 
@@ -50,16 +46,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], fan: int = HOT_FAN) -> DataFrame:
-    """Keys that own more than ``1/fan`` of the rows, with the slices each needs.
+AUTO = "auto"
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys that own more than one shuffle partition's fair share of the rows.
 
-    By pigeonhole fewer than ``fan`` rows come back.
+    Each comes with the number of fair shares it fills.  By pigeonhole there are
+    fewer hot keys than shuffle partitions, whatever the data size, so the staged
+    table is safe to broadcast.  None when no key is hot.
     """
+    fan = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") * fan > total).select(
+    hot = counts.where(F.col("_n") * fan > total).select(
         *keys, F.ceil(F.col("_n") * fan / total).cast("int").alias("_slices")
     )
+    hot = stage(hot.coalesce(1), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def skew_join(
@@ -68,18 +72,25 @@ def skew_join(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """Equi join of a ``left`` with hot keys; ``right`` rows of hot keys are repeated.
 
     Left rows of a hot key are dealt over its slices by a hash of ``spread``.
-    Cold keys take slice 0 on both sides, so nothing else is repeated.
-    ``hot`` may come from a cheaper table with the same key distribution.
+    Cold keys take slice 0 on both sides, so nothing else is repeated, and
+    without any hot key this is a plain join.  ``hot`` is the result of
+    ``hot_keys``, which may come from a cheaper table with the same key spread.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat unmatched right rows")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys) if hot is None else hot)
+    if isinstance(hot, str):
+        hot = hot_keys(left, keys)
+    if hot is None:
+        return left.join(right, keys, how)
+    if hot.columns[:-1] != keys:
+        hot = hot.toDF(*keys, "_slices")
+    hot = F.broadcast(hot)
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     dealt = (
         left.join(hot, keys, "left")

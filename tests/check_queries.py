@@ -18,11 +18,11 @@ def main(sf="0.01", *keys):
     queries, oracles = entry_mod.queries(), entry_mod.oracle_sql()
     failed = []
     for key in keys or queries:
-        start = time.time()
+        start, timing = time.time(), {}
         try:
             df = queries[key](spark, sf_dir)
             if key in oracles:
-                problem = compare(df, con, oracles[key])
+                problem = compare(df, con, oracles[key], timing)
                 n = df.count() if problem is None and keys else ""
             else:
                 n = len(df.collect())
@@ -32,7 +32,7 @@ def main(sf="0.01", *keys):
             if keys:
                 traceback.print_exc()
         kind = "H" if key in oracles else "R"
-        print(f"{'ok  ' if problem is None else 'FAIL'} {kind} {key:28s} {time.time() - start:6.1f}s {n} {problem or ''}", flush=True)
+        print(f"{'ok  ' if problem is None else 'FAIL'} {kind} {key:28s} {time.time() - start - timing.get('sql', 0):6.1f}s sql {timing.get('sql', 0):5.1f}s {n} {problem or ''}", flush=True)
         if problem:
             failed.append(key)
     print("failed:", failed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import time
 
 import duckdb
 
@@ -34,11 +35,15 @@ def canonical(columns, rows):
     return [columns[i] for i in order], sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-def compare(spark_df, con, sql):
+def compare(spark_df, con, sql, timing=None):
     """Returns None when equal, else a short description of the difference."""
+    t0 = time.time()
     got_cols, got = canonical(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    t1 = time.time()
     cur = con.execute(sql)
     want_cols, want = canonical([d[0] for d in cur.description], cur.fetchall())
+    if timing is not None:
+        timing.update(spark=t1 - t0, sql=time.time() - t1)
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
     if len(got) != len(want):
