@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("log_queries", "time_queries")
+MODULES = ("log_queries", "time_queries", "text_queries")
 
 
 def load():

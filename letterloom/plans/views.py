@@ -213,39 +213,92 @@ CLEAN_SQL = (
 )
 BOUNDARY_SQL = "regexp_replace(regexp_replace({0}, '([a-z])([A-Z])', '\\1 \\2', 'g'), '([0-9])([a-zA-Z])', '\\1 \\2', 'g')"
 
-sql_view("doc_clean", f"SELECT doc_id AS mid, {CLEAN_SQL.format('strip_accents(text)')} AS txt FROM documents")
-sql_view(
-    "doc_sentence",
-    """SELECT mid, unnest(l) AS txt, generate_subscripts(l, 1) - 1 AS si FROM (
-         SELECT mid, list_filter(string_split(regexp_replace(txt, '([.!?])[ \\t\\r\\n\\f]+', '\\1' || chr(1), 'g'), chr(1)),
-                                 lambda s: regexp_matches(s, '[^ \\t\\r\\n\\f]')) AS l
-         FROM doc_clean)""",
-)
-sql_view(
-    "doc_piece",
-    f"""SELECT mid, si, orth, ti FROM (
-          SELECT mid, si, unnest(l) AS orth, generate_subscripts(l, 1) AS ti FROM (
-            SELECT mid, si, list_transform(string_split_regex({_INFIX_SQL}, '[ \\t\\r\\n\\f]+'),
-                     lambda w: regexp_replace(w, '^{_EDGE}+|{_EDGE}+$', '', 'g')) AS l
-            FROM (SELECT mid, si, {BOUNDARY_SQL.format('txt')} AS txt FROM doc_sentence)))
-        WHERE orth <> ''""",
-)
-sql_view(
-    "doc_kept",
-    f"""SELECT mid, si, ti, orth, low FROM (SELECT *, lower(orth) AS low FROM doc_piece)
-        WHERE NOT regexp_matches(orth, '_|--|[*/:=(\\])#|@+]') AND NOT regexp_matches(orth, '^[[:punct:]]+$')
-          AND NOT regexp_matches(low, '^[0-9]+([.,/][0-9]+)*$')
-          AND NOT regexp_matches(low, '^(https?:|www\\.)|\\.(com|org|net|edu|gov)(/|$)')
-          AND low NOT IN ({word_list((*tx.STOP_WORDS, *tx.NUMBER_WORDS))})""",
-)
-sql_view(
-    "doc_word",
-    """SELECT * FROM (SELECT mid, si, ti, low, regexp_replace(low, '[[:punct:]0-9]', '', 'g') AS term FROM doc_kept)
-       WHERE length(term) > 1""",
-)
+
+def _token_views(prefix: str, source: str) -> None:
+    """SQL views from text to words for ``source`` (mid, body)."""
+    sql_view(f"{prefix}_clean", f"SELECT mid, {CLEAN_SQL.format('strip_accents(body)')} AS txt FROM {source}")
+    sql_view(
+        f"{prefix}_sentence",
+        rf"""SELECT mid, unnest(l) AS txt, generate_subscripts(l, 1) - 1 AS si FROM (
+             SELECT mid, list_filter(string_split(regexp_replace(txt, '([.!?])[ \t\r\n\f]+', '\1' || chr(1), 'g'), chr(1)),
+                                     lambda s: regexp_matches(s, '[^ \t\r\n\f]')) AS l
+             FROM {prefix}_clean)""",
+    )
+    sql_view(
+        f"{prefix}_piece",
+        rf"""SELECT mid, si, orth, ti FROM (
+              SELECT mid, si, unnest(l) AS orth, generate_subscripts(l, 1) AS ti FROM (
+                SELECT mid, si, list_transform(string_split_regex({_INFIX_SQL}, '[ \t\r\n\f]+'),
+                         lambda w: regexp_replace(w, '^{_EDGE}+|{_EDGE}+$', '', 'g')) AS l
+                FROM (SELECT mid, si, {BOUNDARY_SQL.format('txt')} AS txt FROM {prefix}_sentence)))
+            WHERE orth <> ''""",
+    )
+    sql_view(
+        f"{prefix}_kept",
+        rf"""SELECT mid, si, ti, orth, low FROM (SELECT *, lower(orth) AS low FROM {prefix}_piece)
+            WHERE NOT regexp_matches(orth, '_|--|[*/:=(\])#|@+]') AND NOT regexp_matches(orth, '^[[:punct:]]+$')
+              AND NOT regexp_matches(low, '^[0-9]+([.,/][0-9]+)*$')
+              AND NOT regexp_matches(low, '^(https?:|www\.)|\.(com|org|net|edu|gov)(/|$)')
+              AND low NOT IN ({word_list((*tx.STOP_WORDS, *tx.NUMBER_WORDS))})""",
+    )
+    sql_view(
+        f"{prefix}_word",
+        f"""SELECT * FROM (SELECT mid, si, ti, low, regexp_replace(low, '[[:punct:]0-9]', '', 'g') AS term FROM {prefix}_kept)
+           WHERE length(term) > 1""",
+    )
+
+
+_token_views("doc", "doc_mail")
 sql_view("doc_term", "SELECT mid, term, count(*) AS cnt FROM doc_word GROUP BY mid, term")
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_mail with its bag of words, in text order."""
     return doc_mail(spark, sf_dir).select("sender", "recipient", "mid", tx.bag_of_words(F.col("body")).alias("tokens"))
+
+
+def reply_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_mail where two of three bodies quote themselves under a forward header."""
+    d = doc_mail(spark, sf_dir)
+    text = F.col("body")
+    body = (
+        F.when(F.col("mid") % 3 == 0, F.concat(text, F.lit("\n-----Original Message----- To bobSmith Subject: re\n> "), text))
+        .when(F.col("mid") % 3 == 1, F.concat(text, F.lit("\n---- - Forwarded by a Subject: 12fw\n>"), text))
+        .otherwise(text)
+    )
+    return d.withColumn("body", body)
+
+
+sql_view(
+    "reply_mail",
+    """SELECT sender, recipient, mid, CASE mid % 3
+         WHEN 0 THEN body || chr(10) || '-----Original Message----- To bobSmith Subject: re' || chr(10) || '> ' || body
+         WHEN 1 THEN body || chr(10) || '---- - Forwarded by a Subject: 12fw' || chr(10) || '>' || body
+         ELSE body END AS body FROM doc_mail""",
+)
+
+
+def stacked_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two text tables under each other: documents, and benchmark items with negative ids."""
+    items = table(spark, sf_dir, "benchmark").select((-1 - F.col("item_id")).alias("mid"), F.col("text").alias("body"))
+    return doc_mail(spark, sf_dir).select("mid", "body").unionByName(items)
+
+
+sql_view("stacked", "SELECT mid, body FROM doc_mail UNION ALL SELECT -1 - item_id, text FROM benchmark")
+_token_views("stk", "stacked")
+
+
+def talk_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text log whose senders also receive: the recipient is another source, by message id."""
+    to = F.concat(F.lit("src"), (F.floor(F.col("mid") / 20) * 7 + 3) % 20)
+    return doc_mail(spark, sf_dir).withColumn("recipient", to)
+
+
+sql_view("talk_mail", "SELECT sender, 'src' || ((mid // 20 * 7 + 3) % 20) AS recipient, mid, body FROM doc_mail")
+sql_view(
+    "doc_split",
+    """SELECT mid, CASE WHEN nd = 0 OR rn > n - nd THEN 'dev' ELSE 'train' END AS part FROM (
+         SELECT *, CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT) AS nd FROM (
+           SELECT mid, count(*) OVER (PARTITION BY sender) AS n, row_number() OVER (PARTITION BY sender ORDER BY mid) AS rn
+           FROM doc_mail))""",
+)
