@@ -35,14 +35,14 @@ NUMBER_WORDS: tuple[str, ...] = tuple(
     """.split()
 )
 
-# Patterns that define the results.
+# Patterns that define the results.  Each starts with a cheap test of
+# one character, so that most positions of a text fail at once.
 FORWARD_HEADER = r"----[- \t\n\r\f\x0B]*(Original|Forwarded)[^\n]*Subject:"
 ORIGINAL_MESSAGE = "-----Original Message-----"
-LOWER_UPPER = r"(?<=[a-z])(?=[A-Z])"
-DIGIT_LETTER = r"(?<=[0-9])(?=[a-zA-Z])"
+BOUNDARY = r"(?=[A-Z])(?<=[a-z])|(?<=[0-9])(?=[a-zA-Z])"
 SENTENCE_END = r"(?<=[.!?])[ \t\r\n\f]+"
 BLANKS = r"[ \t\r\n\f]+"
-INFIXES = "|".join(
+INFIX = "(?=[-.?!,])(?:" + "|".join(
     (
         r"\.\.\.",
         r"(?<=[a-z0-9])\.(?=[a-zA-Z0-9\[\]_\-*])",
@@ -50,12 +50,18 @@ INFIXES = "|".join(
         r"(?<=[a-zA-Z0-9])[-?!](?=[a-zA-Z0-9])",
         r"(?<=[A-Za-z0-9]),(?=[A-Za-z\[])",
     )
+) + ")"
+_EDGE = r"[.,;:!?\"'()\[\]{}<>]"
+EDGES = rf"(?={_EDGE})(?:(?<![^ ]){_EDGE}+|{_EDGE}+(?![^ ]))"
+PLAIN_WORD = "^[a-z]{2,}$"
+REJECTED = "|".join(
+    (
+        r"_|--|[*/:=(\])#|@+]",  # structure characters
+        r"^\p{Punct}+$",
+        r"^[0-9]+([.,/][0-9]+)*$",  # numbers
+        r"^(https?:|www\.)|\.(com|org|net|edu|gov)(/|$)",
+    )
 )
-TOKEN_EDGE = r"^[.,;:!?\"'()\[\]{}<>]+|[.,;:!?\"'()\[\]{}<>]+$"
-REJECTED_IN_TOKEN = r"_|--|[*/:=(\])#|@+]"
-NUMBER_LIKE = r"^[0-9]+([.,/][0-9]+)*$"
-URL_LIKE = r"^(https?:|www\.)|\.(com|org|net|edu|gov)(/|$)"
-PUNCT_ONLY = r"^\p{Punct}+$"
 
 
 @lru_cache(maxsize=1)
@@ -99,7 +105,7 @@ def drop_quote_marks(c: Column) -> Column:
 
 def split_boundaries(c: Column) -> Column:
     """Put a space into ``lowerUpper`` and ``4letters``."""
-    return F.regexp_replace(F.regexp_replace(c, LOWER_UPPER, " "), DIGIT_LETTER, " ")
+    return F.regexp_replace(c, BOUNDARY, " ")
 
 
 def clean_body(c: Column) -> Column:
@@ -117,7 +123,7 @@ def sentences(c: Column) -> Column:
 
 def infix_split(c: Column) -> Column:
     """Set infix punctuation between letters or digits off by spaces."""
-    return F.regexp_replace(c, f"({INFIXES})", " $1 ")
+    return F.regexp_replace(c, f"({INFIX})", " $1 ")
 
 
 def strip_punct(c: Column) -> Column:
@@ -128,61 +134,63 @@ def strip_digits(c: Column) -> Column:
     return F.regexp_replace(c, "[0-9]", "")
 
 
-def pieces(sentence: Column) -> Column:
-    """Raw tokens of one sentence with edge punctuation removed."""
-    words = F.split(infix_split(split_boundaries(sentence)), BLANKS, -1)
-    return F.filter(F.transform(words, lambda w: F.regexp_replace(w, TOKEN_EDGE, "")), lambda w: w != "")
+def _spaced(c: Column) -> Column:
+    """Text whose tokens stand between single spaces, without edge punctuation.
+
+    Works on the text as a whole: one pass per rule instead of one per token.
+    """
+    spaced = F.regexp_replace(infix_split(split_boundaries(c)), BLANKS, " ")
+    return F.regexp_replace(spaced, EDGES, "")
 
 
-def _in_list(word: Column, words: Sequence[str]) -> Column:
-    return word.isin(*words) if words else F.lit(False)
+def pieces(c: Column) -> Column:
+    """Raw tokens in text order, before any filter."""
+    return F.filter(F.split(_spaced(c), " ", -1), lambda w: w != "")
 
 
-def bag_filter(
-    tokens: Column,
+def _kept_words(
+    spaced: Column,
     stop_words: Sequence[str] = STOP_WORDS,
     extended: bool = True,
     extra_stop_words: Sequence[str] = (),
     excluded: Column | None = None,
 ) -> Column:
-    """Keep the words of a raw token array and bring them to their stored form.
+    """Words of a spaced text that pass the bag filter, in their stored form.
 
     Both forms drop stop words, numbers, URLs, punctuation, one-letter words and
     tokens with structure characters.  ``extended`` also strips punctuation and
     digits from the word and tests it against ``extra_stop_words``.
     ``excluded`` is an array of lower-case words to leave out, such as names.
     """
+    skipped = (*stop_words, *NUMBER_WORDS)
 
-    def stored(w: Column) -> Column:
-        low = F.lower(w)
+    def one(low: Column) -> Column:
         if extended:
-            return F.regexp_replace(low, r"[\p{Punct}0-9]", "")
-        return F.when(low.rlike("^-|-$"), F.replace(low, F.lit("-"), F.lit(""))).otherwise(low)
-
-    def keep(w: Column) -> Column:
-        low = F.lower(w)
-        ok = ~(
-            w.rlike(REJECTED_IN_TOKEN)
-            | w.rlike(PUNCT_ONLY)
-            | low.rlike(NUMBER_LIKE)
-            | low.rlike(URL_LIKE)
-            | _in_list(low, (*stop_words, *NUMBER_WORDS))
-        )
-        if extended:
-            word = stored(w)
-            ok = ok & (F.length(word) > 1) & ~_in_list(word, extra_stop_words)
+            bare = F.regexp_replace(low, r"[\p{Punct}0-9]", "")
+            stored = F.when(F.length(bare) > 1, bare)
         else:
-            ok = ok & (F.length(w) > 1)
+            bare = F.when(low.rlike("^-|-$"), F.replace(low, F.lit("-"), F.lit(""))).otherwise(low)
+            stored = F.when(F.length(low) > 1, bare)
+        # plain words, by far the most, need no further look
+        word = F.when(low.isin(*skipped), F.lit(None)).when(low.rlike(PLAIN_WORD), low)
         if excluded is not None:
-            ok = ok & ~F.coalesce(F.array_contains(excluded, low), F.lit(False))
-        return ok
+            word = F.when(F.array_contains(excluded, low), F.lit(None)).when(low.isin(*skipped), F.lit(None)).when(
+                low.rlike(PLAIN_WORD), low
+            )
+        return word.when(low.rlike(REJECTED), F.lit(None)).otherwise(stored)
 
-    return F.transform(F.filter(tokens, keep), stored)
+    words = F.filter(F.transform(F.split(F.lower(spaced), " ", -1), one), lambda w: w.isNotNull())
+    if extended and extra_stop_words:
+        words = F.filter(words, lambda w: ~w.isin(*extra_stop_words))
+    return words
 
 
 def bag_of_words(body: Column, **options) -> Column:
-    """Body to one token array, in text order."""
-    return F.flatten(sentence_tokens(body, **options))
+    """Body to one token array, in text order.
+
+    Sentences end at white space, as tokens do, so they need not be told apart.
+    """
+    return _kept_words(_spaced(clean_body(body)), **options)
 
 
 def sentence_tokens(body: Column, first: int = -1, **options) -> Column:
@@ -193,7 +201,7 @@ def sentence_tokens(body: Column, first: int = -1, **options) -> Column:
     sents = sentences(clean_body(body))
     if first >= 0:
         sents = F.slice(sents, 1, first) if first else F.array().cast("array<string>")
-    return F.transform(sents, lambda s: bag_filter(pieces(s), **options))
+    return F.transform(sents, lambda s: _kept_words(_spaced(s), **options))
 
 
 def distinct_tokens(tokens: Column) -> Column:

@@ -57,8 +57,7 @@ def _(spark, sf):
        FROM doc_piece GROUP BY 1""",
 )
 def _(spark, sf):
-    sents = tx.sentences(tx.clean_body(F.col("body")))
-    raw = v.doc_mail(spark, sf).select(F.explode(F.flatten(F.transform(sents, tx.pieces))).alias("raw"))
+    raw = v.doc_mail(spark, sf).select(F.explode(tx.pieces(tx.clean_body(F.col("body")))).alias("raw"))
     words = raw.select(tx.strip_digits(tx.strip_punct(F.col("raw"))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
