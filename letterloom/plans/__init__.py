@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("log_queries", "time_queries", "text_queries")
+MODULES = ("log_queries", "time_queries", "text_queries", "vector_queries", "ranking_queries")
 
 
 def load():
