@@ -205,4 +205,4 @@ def sentence_tokens(body: Column, first: int = -1, **options) -> Column:
 
 
 def distinct_tokens(tokens: Column) -> Column:
-    return F.array_sort(F.array_distinct(tokens))
+    return F.sort_array(F.array_distinct(tokens))

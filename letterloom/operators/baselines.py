@@ -92,6 +92,6 @@ def printed_predictions(ranked: DataFrame) -> DataFrame:
     """(mid, recipients): contacts joined by spaces in rank order, at most k per message."""
     return (
         ranked.groupBy("mid")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", F.col("contact").cast("string").alias("contact")))).alias("_r"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", F.col("contact").cast("string").alias("contact")))).alias("_r"))
         .select("mid", F.array_join(F.col("_r.contact"), " ").alias("recipients"))
     )

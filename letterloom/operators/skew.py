@@ -46,6 +46,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deals a scan of too few splits over all cores ahead of heavy per-row work.
+
+    Large inputs have more splits than the cluster has cores and are left alone, so
+    raw text is only moved where the whole table is small.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 AUTO = "auto"
 
 

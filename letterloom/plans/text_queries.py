@@ -348,7 +348,7 @@ def _text_sim(direction):
         flat, vectors = talk_vectors(spark, sf)
         means = stage(sim.pair_mean_vector(flat, vectors, direction), "means")
         pairs = ct.candidates(flat.select("sender", "mid"), ct.contacts_all(flat))
-        pairs = pairs.select("mid", F.col("sender").alias("user"), "contact")
+        pairs = stage(pairs.select("mid", F.col("sender").alias("user"), "contact"), "pairs")
         return _rounded(sim.text_similarity(pairs, vectors, means))
 
     return run

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from letterloom.functions import text as tx
+from letterloom.operators.skew import spread
 from letterloom.plans.registry import sql_view
 
 IDS_PER_INDEX_ROW = 4096
@@ -93,7 +94,7 @@ def trade_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return (
         o.groupBy(F.col("o_custkey").alias("sender"), F.floor(F.col("o_orderkey") / IDS_PER_INDEX_ROW).alias("_chunk"))
-        .agg(F.array_sort(F.collect_list("o_orderkey")).alias("ids"))
+        .agg(F.sort_array(F.collect_list("o_orderkey")).alias("ids"))
         .select("sender", F.array_join(F.col("ids").cast("array<string>"), " ").alias("mids"))
     )
 
@@ -126,7 +127,7 @@ sql_view(
 
 def doc_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text log: 20 senders, 4 recipients, one recipient per message."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         F.col("source").alias("sender"), F.col("lang").alias("recipient"), F.col("doc_id").alias("mid"),
         F.col("text").alias("body"),
@@ -145,7 +146,7 @@ def greet_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first recipient is named after the first word of the message itself, the
     second after that of the next message.
     """
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     word = F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1))
     address = F.concat(word, F.lit("."), F.col("lang"), F.lit("@corp.example"))
     own = d.select("doc_id", "source", "text", address.alias("to1"))
