@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,16 @@ def explode_list(df: DataFrame, col: str, new_col: str, cast: str | None = None)
     return df.select(*rest, F.explode(col).alias("_e")).where("_e IS NOT NULL").select(*rest, element.alias(new_col))
 
 
+def explode_computed(df: DataFrame, keep: Sequence[str | Column], array: Column | str, name: str, pos: str | None = None) -> DataFrame:
+    """Explode of an array that is costly to compute and holds no nulls.
+
+    For an inner explode Spark first filters on the array's size, which would compute
+    the array a second time; an outer explode and a null test do not.
+    """
+    made = F.posexplode_outer(array).alias(pos, name) if pos else F.explode_outer(array).alias(name)
+    return df.select(*keep, made).where(F.col(name).isNotNull())
+
+
 def relative_time(log: DataFrame, mode: str = "seconds_of_day", date: str = "date", time: str = "time") -> DataFrame:
     """Whole seconds since the log's first date.
 

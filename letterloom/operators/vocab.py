@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from letterloom.functions import weights as wt
+from letterloom.operators.reshape import explode_computed
 from letterloom.operators.skew import skew_join
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(mid, term, cnt).  Documents move once, as arrays; counting is then local."""
-    terms = docs.repartition("mid").select("mid", F.explode("tokens").alias("term"))
+    terms = explode_computed(docs.select("mid", "tokens").repartition("mid"), ["mid"], "tokens", "term")
     return terms.groupBy("mid", "term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def doc_freq(docs: DataFrame, min_df: int = 0) -> DataFrame:
     """(term, df): documents a term occurs in, kept where df > min_df."""
-    terms = docs.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    terms = explode_computed(docs, [], F.array_distinct("tokens"), "term")
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > min_df)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from letterloom.operators.reshape import explode_computed
 
 CENTRALITIES = ("degree", "w_degree", "closeness", "w_closeness")
 ROWS_PER_FRAME = 50_000
@@ -45,16 +46,17 @@ def _window_pairs(tokens: Column, window: int) -> Column:
 
 def word_edges(docs: DataFrame, window: int = 3) -> DataFrame:
     """(mid, a, b, weight): directed edges, weighted by how often they occur."""
-    pairs = docs.repartition("mid").select("mid", F.explode(_window_pairs(F.col("tokens"), window)).alias("_p"))
+    moved = docs.select("mid", "tokens").repartition("mid")
+    pairs = explode_computed(moved, ["mid"], _window_pairs(F.col("tokens"), window), "_p")
     return pairs.groupBy("mid", F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(F.count(F.lit(1)).alias("weight"))
 
 
 def _degree(docs: DataFrame, window: int, weighted: bool) -> DataFrame:
     edges = word_edges(docs, window).withColumn("_v", F.col("weight") if weighted else F.lit(1).cast("bigint"))
     ends = edges.select("mid", F.explode(F.array("a", "b")).alias("term"), "_v")
-    nodes = docs.repartition("mid").select(
-        "mid", F.explode(F.array_distinct("tokens")).alias("term"), F.lit(0).cast("bigint").alias("_v")
-    )
+    moved = docs.select("mid", "tokens").repartition("mid")
+    nodes = explode_computed(moved, ["mid"], F.array_distinct("tokens"), "term")
+    nodes = nodes.withColumn("_v", F.lit(0).cast("bigint"))
     total = ends.union(nodes).groupBy("mid", "term").agg(F.sum("_v").alias("_v"))
     others = F.count(F.lit(1)).over(Window.partitionBy("mid")) - 1
     return total.select("mid", "term", F.when(others > 0, _round5(F.col("_v") / others)).otherwise(0.0).alias("value"))
@@ -71,7 +73,7 @@ def closeness_of_distinct(docs: DataFrame, window: int = 3) -> DataFrame:
         full = F.floor(length / reach)
         return reach * full * (full + 1) / 2 + (length - full * reach) * (full + 1)
 
-    nodes = docs.select("mid", n.alias("_n"), F.posexplode("tokens").alias("_i", "term"))
+    nodes = explode_computed(docs, ["mid", n.alias("_n")], "tokens", "term", pos="_i")
     near = (F.col("_n") - 1) / (steps(F.col("_i")) + steps(F.col("_n") - 1 - F.col("_i")))
     value = F.when(F.col("_n") == 1, 0.0).when(F.col("_n") <= window, 1 / F.col("_n")).otherwise(near)
     return nodes.select("mid", "term", _round5(value).alias("value"))

@@ -11,7 +11,7 @@ from letterloom.operators import contacts as ct
 from letterloom.operators import greetings as gr
 from letterloom.operators import similarity as sim
 from letterloom.operators import vocab as vc
-from letterloom.operators.reshape import explode_list
+from letterloom.operators.reshape import explode_computed, explode_list
 from letterloom.operators.skew import stage, stage_path
 from letterloom.operators.split import chrono_split
 from letterloom.plans import views as v
@@ -48,7 +48,7 @@ query("infix_split", f"SELECT mid, {v._INFIX_SQL} AS body FROM (SELECT mid, body
 @query("sentences", "SELECT mid, si AS pos, txt AS sentence FROM doc_sentence")
 def _(spark, sf):
     sents = tx.sentences(tx.clean_body(F.col("body")))
-    return v.doc_mail(spark, sf).select("mid", F.posexplode(sents).alias("pos", "sentence"))
+    return explode_computed(v.doc_mail(spark, sf), ["mid"], sents, "sentence", pos="pos")
 
 
 @query(
@@ -57,7 +57,7 @@ def _(spark, sf):
        FROM doc_piece GROUP BY 1""",
 )
 def _(spark, sf):
-    raw = v.doc_mail(spark, sf).select(F.explode(tx.pieces(tx.clean_body(F.col("body")))).alias("raw"))
+    raw = explode_computed(v.doc_mail(spark, sf), [], tx.pieces(tx.clean_body(F.col("body"))), "raw")
     words = raw.select(tx.strip_digits(tx.strip_punct(F.col("raw"))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -86,7 +86,7 @@ query("bow_basic", _joined_sql("term", _BASIC))(
 )
 def _(spark, sf):
     sents = tx.sentence_tokens(F.col("body"), extended=False)
-    rows = v.doc_mail(spark, sf).select("mid", F.posexplode(sents).alias("pos", "_t"))
+    rows = explode_computed(v.doc_mail(spark, sf), ["mid"], sents, "_t", pos="pos")
     return rows.select("mid", "pos", F.array_join("_t", " ").alias("tokens"))
 
 
@@ -102,7 +102,7 @@ def _(spark, sf):
     # the first word of each body plays the tagged person
     persons = F.array(F.lower(F.regexp_extract("body", "([A-Za-z]+)", 1)))
     sents = tx.sentence_tokens(F.col("body"), first=2, excluded=persons)
-    rows = v.doc_mail(spark, sf).select("mid", F.posexplode(sents).alias("pos", "_t"))
+    rows = explode_computed(v.doc_mail(spark, sf), ["mid"], sents, "_t", pos="pos")
     return rows.select("mid", "pos", F.array_join("_t", " ").alias("tokens"))
 
 
@@ -128,7 +128,7 @@ def _(spark, sf):
        FROM stk_sentence s LEFT JOIN stk_word t ON t.mid = s.mid AND t.si = s.si GROUP BY s.mid, s.si""",
 )
 def _(spark, sf):
-    rows = v.stacked_bodies(spark, sf).select("mid", F.posexplode(tx.sentence_tokens(F.col("body"))).alias("pos", "_t"))
+    rows = explode_computed(v.stacked_bodies(spark, sf), ["mid"], tx.sentence_tokens(F.col("body")), "_t", pos="pos")
     return rows.select("mid", "pos", F.array_join("_t", " ").alias("tokens"))
 
 
