@@ -4,14 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from letterloom.llm import automaton, boosting
+from letterloom.llm import automaton, boosting, bpe, chat, outliers
 from letterloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.tokenize_report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.chat_report(turns.unionByName(extra))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_rules_report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,5 +41,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op9_decontaminate, op10_quality)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op6_quality_rules, op9_decontaminate, op10_quality)}
 ORACLES: dict[str, str] = {}
