@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterloom.llm import automaton, boosting, bpe, chat, outliers, pii
+from letterloom.llm import automaton, boosting, bpe, chat, outliers, pii, radix_dedup, suffix_trees
 from letterloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.substring_report(table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix_dedup.byte_string_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_rules_report(table(spark, sf_dir, "documents"))
 
@@ -45,5 +53,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op3_pii, op6_quality_rules, op9_decontaminate, op10_quality)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op3_pii, op4_substrings, op5_suffix_array, op6_quality_rules, op9_decontaminate, op10_quality)}
 ORACLES: dict[str, str] = {}
