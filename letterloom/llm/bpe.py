@@ -199,7 +199,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
         raise ValueError(f"docs already has columns {sorted(taken)}")
     spark.sparkContext.addFile(ranks_path)
     file = ranks_path.rsplit("/", 1)[-1]
-    schema = docs.withColumns({n: F.lit(b"") for n in new}).schema
+    schema = docs.withColumns({n: F.lit(bytearray()) for n in new}).schema
 
     def run(batches):
         encoder = _encoder(file)

@@ -30,7 +30,7 @@ from letterloom.llm.repeats import gram_hashes, mix
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # similarity of 0.8 or more
-RECALL = 0.995  # of pairs right at the threshold whose bucket was split to the last level
+RECALL = 0.999  # of pairs right at the threshold whose bucket was split to the last level
 SPLIT, LEVELS = 100, 3
 BLOCK = 400
 BROADCAST_KEYS = 100_000
