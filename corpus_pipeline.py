@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterloom.llm import automaton, boosting
+from letterloom.llm import automaton, boosting, bpe, chosen_path, pii
 from letterloom.llm.common import drop_stage, stage, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,13 +21,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_quality") >= boosting.THRESHOLD).drop("_quality")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that near-copy links connect, the one with the least id."""
+    return chosen_path.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     found = automaton.hits(docs, table(spark, sf_dir, "benchmark"))
     return found.where(~F.col("contaminated")).select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality), ("decontaminate", decontaminate)]
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark of its kind in place of each personal span."""
+    return pii.redact(pii.find(docs, pii.fit(docs))).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, token count and token ids, as bytes of little-endian 32-bit integers, of every document."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_documents(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("private_data", private_data),
+    ("tokens", tokens),
+]
 ORACLE_SQL = None  # a learned model has no SQL form; tests hold the stages against brute force
 
 
