@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterloom.llm import automaton, boosting, bpe, chat, chosen_path, outliers, pii, radix_dedup, suffix_trees
+from letterloom.llm import automaton, boosting, bpe, chat, chosen_path, licenses, outliers, pii, radix_dedup, suffix_trees
 from letterloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_rules_report(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.default_templates(spark))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_report(table(spark, sf_dir, "documents"))
 
@@ -57,5 +61,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op3_pii, op4_substrings, op5_suffix_array, op6_quality_rules, op8_jaccard_join, op9_decontaminate, op10_quality)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op3_pii, op4_substrings, op5_suffix_array, op6_quality_rules, op7_licenses, op8_jaccard_join, op9_decontaminate, op10_quality)}
 ORACLES: dict[str, str] = {}
