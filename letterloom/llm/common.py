@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import hashlib
-import struct
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -106,11 +105,3 @@ _ARROW = {
 
 def arrow_types(schema: str) -> list[pa.DataType]:
     return [_ARROW[f.split()[1]] for f in schema.split(", ")]
-
-
-def pack_ints(values) -> bytes:
-    return struct.pack(f"<{len(values)}q", *values)
-
-
-def unpack_ints(data: bytes) -> tuple[int, ...]:
-    return struct.unpack(f"<{len(data) // 8}q", data)

@@ -209,22 +209,14 @@ def _blobs(part: np.ndarray, make: Callable[[np.ndarray], bytes]) -> pa.RecordBa
 
 _GRAM = ("u8", "i8", "i8", "u4", "u1")  # gram, doc, tag, position, state
 _ONCE, _SEVERAL, _KNOWN = 0, 1, 2  # in this batch: once; several times, the first; several times, another
-MARKS = "doc long, tag long, marks binary"
-
-
-def _by_doc(doc: np.ndarray, tag: np.ndarray, make: Callable[[np.ndarray], bytes]) -> list[pa.Array]:
-    order = np.lexsort((tag, doc))
-    new = np.flatnonzero((np.diff(doc[order], prepend=0) != 0) | (np.diff(tag[order], prepend=0) != 0) | (np.arange(len(order)) == 0))
-    blobs = [make(rows) for rows in np.split(order, new[1:])] if len(order) else []
-    head = order[new] if len(order) else order
-    return [pa.array(doc[head], pa.int64()), pa.array(tag[head], pa.int64()), pa.array(blobs, pa.binary())]
+MARKS = "doc long, tag long, at long, gram long"
 
 
 def alive_marks(docs: DataFrame, reader: Reader, parts: int) -> DataFrame:
-    """Positions per text of anchors whose gram occurs more than once, and hot grams as rows without a text.
+    """(doc, tag, at) of anchors whose gram occurs more than once, and rows of hot grams.
 
-    ``docs`` has ``doc, tag, text``.  Hot rows have a null ``doc``, and ``marks`` with their grams;
-    there are at most ``HOT_SHARE`` of them per part.
+    ``docs`` has ``doc, tag, text``.  Hot rows have a ``gram`` and nothing else; there are at most
+    ``HOT_SHARE`` of them per part.
     """
 
     def send(batches):
@@ -264,11 +256,10 @@ def alive_marks(docs: DataFrame, reader: Reader, parts: int) -> DataFrame:
         alive = order[np.repeat((size > 1) | (several > 0), size)]
         hot = ranked[start][size > max(HOT_ROWS, len(order) // HOT_SHARE)] if len(start) else ranked
         rows = np.concatenate([known, alive])
-        columns = _by_doc(doc[rows], tag[rows], lambda r: pack(("u4", at[rows][r])))
-        if len(hot):
-            extra = [pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([pack(("u8", hot))], pa.binary())]
-            columns = [pa.concat_arrays(x) for x in zip(columns, extra)]
-        return pa.table(columns, names=["doc", "tag", "marks"])
+        blank, none = pa.nulls(len(hot), pa.int64()), pa.nulls(len(rows), pa.int64())
+        columns = [pa.concat_arrays([pa.array(x[rows].astype(np.int64)), blank]) for x in (doc, tag, at)]
+        columns.append(pa.concat_arrays([none, pa.array(hot.view(np.int64))]))
+        return pa.table(columns, names=["doc", "tag", "at", "gram"])
 
     sent = docs.mapInArrow(send, "part long, blob binary")
     return sent.groupBy("part").applyInArrow(settle, MARKS)
@@ -278,9 +269,10 @@ _MEMBER = ("u8", "i8", "i8", "u4", "u4", "u4", "u4")  # key, doc, tag, position,
 
 
 def removed_spans(marked: DataFrame, reader: Reader, parts: int, hot: np.ndarray) -> DataFrame:
-    """Spans [start, end) per text, as packed pairs, that windows which start earlier elsewhere cover.
+    """Spans [start, end) per text that windows which start earlier elsewhere cover, one a row.
 
-    ``marked`` has ``doc, tag, text, marks`` with the packed positions of ``alive_marks``.
+    ``marked`` has ``doc, tag, text, marks`` with the positions of ``alive_marks``; ``span`` is
+    start * 2^32 + end, as no text has 2^31 symbols.
     """
     width = reader.width
     hot = np.sort(hot)
@@ -288,10 +280,13 @@ def removed_spans(marked: DataFrame, reader: Reader, parts: int, hot: np.ndarray
     def send(batches):
         held, size = [], 0
         for pieces, a in _chunks((r for r in _rows(batches) if r[3]), reader):
-            live = [np.unique(np.concatenate([unpack(m, ("u4",))[0][0] for m in p[4]])) for p in pieces]
+            border = np.searchsorted(a.piece, np.arange(len(pieces) + 1))
             for i, p in enumerate(pieces):
-                lo, hi = np.searchsorted(a.piece, [i, i + 1])
-                keep = lo + np.flatnonzero(np.isin(a.at[lo:hi], live[i]))
+                lo, hi = border[i], border[i + 1]
+                live = np.zeros(int(a.at[hi - 1]) + 1 if hi > lo else 0, bool)
+                marks = np.array(p[4])
+                live[marks[marks < len(live)]] = True
+                keep = lo + np.flatnonzero(live[a.at[lo:hi]])
                 is_hot = hot[np.minimum(np.searchsorted(hot, a.gram[keep]), len(hot) - 1)] == a.gram[keep] if len(hot) else np.zeros(len(keep), bool)
                 for k, wide in zip(keep.tolist(), is_hot.tolist()):
                     at, first, last = int(a.at[k]), int(a.first[k]), int(a.last[k])
@@ -352,11 +347,10 @@ def removed_spans(marked: DataFrame, reader: Reader, parts: int, hot: np.ndarray
         for rows in _group_slices(key[order]):
             spans.append(later_windows(every.take(order[rows]), reader))
         doc, tag, a, b = (np.concatenate(x) for x in zip(*spans))
-        columns = _by_doc(doc, tag, lambda r: c.pack_ints(_merged(a[r], b[r])))
-        return pa.table(columns, names=["doc", "tag", "spans"])
+        return pa.table([pa.array(doc), pa.array(tag), pa.array(a << 32 | b)], names=["doc", "tag", "span"])
 
     sent = marked.select("doc", "tag", "text", "marks").mapInArrow(send, "part long, blob binary")
-    return sent.groupBy("part").applyInArrow(settle, "doc long, tag long, spans binary")
+    return sent.groupBy("part").applyInArrow(settle, "doc long, tag long, span long")
 
 
 def _whole_key(text: bytes) -> int:
@@ -375,16 +369,6 @@ def _group_slices(key: np.ndarray) -> Iterator[slice]:
         start = end
 
 
-def _merged(start: np.ndarray, end: np.ndarray) -> list[int]:
-    out: list[int] = []
-    for a, b in sorted(zip(start.tolist(), end.tolist())):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
-
-
 def later_windows(members: Members, reader: Reader) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(doc, tag, start, end) spans of windows that a member earlier in (doc, start) order has too.
 
@@ -445,17 +429,21 @@ def with_spans(docs: DataFrame, reader: Reader, parts: int | None = None) -> tup
     parts = parts or c.shuffle_partitions(spark)
     keyed = c.documents(docs).select("doc_id", c.order_id().alias("doc"), F.xxhash64("text").alias("tag"), "text")
     marks = c.stage(alive_marks(keyed.select("doc", "tag", "text"), reader, parts), "repeat-marks")
-    grams = [unpack(r["marks"], ("u8",))[0][0] for r in marks.where(F.col("doc").isNull()).select("marks").collect()]
-    hot = np.concatenate(grams) if grams else np.zeros(0, _u64)  # at most HOT_SHARE grams per part
-    grouped = marks.where(F.col("doc").isNotNull()).groupBy("doc", "tag").agg(F.collect_list("marks").alias("marks"))
+    grams = marks.where(F.col("gram").isNotNull()).select("gram").collect()  # at most HOT_SHARE per part
+    hot = np.array([r["gram"] for r in grams], np.int64).view(_u64)
+    grouped = marks.where(F.col("gram").isNull()).groupBy("doc", "tag").agg(F.collect_list("at").alias("marks"))
     marked = keyed.join(grouped, ["doc", "tag"], "left").select("doc", "tag", "text", "marks", "doc_id")
-    spans = removed_spans(marked, reader, parts, hot).groupBy("doc", "tag").agg(F.collect_list("spans").alias("spans"))
+    spans = removed_spans(marked, reader, parts, hot).groupBy("doc", "tag").agg(F.collect_list("span").alias("spans"))
     return keyed.join(spans, ["doc", "tag"], "left").select("doc_id", "doc", "tag", "text", "spans"), marks
 
 
-def merged_spans(blobs: list[bytes] | None) -> list[int]:
-    """Flat span list, merged and in order, of one text's span blobs."""
-    if not blobs:
-        return []
-    flat = np.array([v for b in blobs for v in c.unpack_ints(b)], np.int64)
-    return _merged(flat[::2], flat[1::2])
+def merged_spans(spans: list[int] | None) -> list[int]:
+    """Flat span list, merged and in order, of one text's spans."""
+    out: list[int] = []
+    for span in sorted(spans or ()):
+        start, end = span >> 32, span & 0xFFFFFFFF
+        if out and start <= out[-1]:
+            out[-1] = max(out[-1], end)
+        else:
+            out += [start, end]
+    return out
