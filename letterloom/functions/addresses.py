@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from letterloom.functions.text import STOP_WORDS
+
 # Words that are no first or last names although addresses hold them.
 # The company's own name is added from the domain by ``name_stop_words``.
 NOT_NAMES: tuple[str, ...] = (
@@ -14,22 +16,30 @@ NOT_NAMES: tuple[str, ...] = (
     "information", "weeks", "forward", "track", "book", "little", "com", "experience", "quick",
 )
 
-GREETING_WINDOW = 100  # characters of the body that may hold the greeting
+GREETING_WINDOW = 100  # characters of the body that may hold the greeting, by default
 GREETING_BREAK = r"[\p{Punct} ]|(?<=\p{Ll})(?=\p{Lu}[\s\S])"
 
 
 def name_stop_words(domain: str, extra: Sequence[str] = ()) -> tuple[str, ...]:
-    return (*NOT_NAMES, domain.split(".")[0], *extra)
+    """General stop words, words of addresses that are no names, and the company's own name."""
+    return (*STOP_WORDS, *NOT_NAMES, domain.split(".")[0], *extra)
 
 
 def split_ids(c: Column) -> Column:
-    return F.transform(F.split(F.trim(c), r"\s+"), lambda x: x.cast("bigint"))
+    """Ids of a string; white space at its ends gives no id, and an empty string none at all."""
+    return F.transform(F.filter(F.split(c, r"\s+"), lambda x: x != ""), lambda x: x.cast("bigint"))
 
 
 def glue_recipients(c: Column) -> Column:
     """Addresses from a raw string; pieces without ``@`` are glued to the next one."""
-    runs = F.regexp_extract_all(c, F.lit(r"((?:[^\s@]+\s+)*\S*@\S*)"), F.lit(1))
-    return F.transform(runs, lambda x: F.regexp_replace(x, r"\s+", ""))
+    pieces = F.filter(F.split(c, r"\s+"), lambda x: x != "")
+    ends = F.filter(F.transform(pieces, lambda x, i: F.when(F.contains(x, F.lit("@")), i)), lambda i: i.isNotNull())
+
+    def run(end: Column, k: Column) -> Column:
+        start = F.coalesce(F.get(ends, k - 1) + 1, F.lit(0))
+        return F.array_join(F.slice(pieces, start + 1, end - start + 1), "")
+
+    return F.transform(ends, run)
 
 
 def filter_recipients(c: Column) -> Column:
@@ -68,9 +78,9 @@ def name_parts(address: Column) -> Column:
     return F.split(_local(address), r"\.")
 
 
-def greeting_tokens(body: Column) -> Column:
+def greeting_tokens(body: Column, window: int = GREETING_WINDOW) -> Column:
     """Words of the first characters of a body; a word still open there is dropped."""
-    words = F.split(F.substring(body, 1, GREETING_WINDOW), GREETING_BREAK, -1)
+    words = F.split(F.substring(body, 1, window), GREETING_BREAK, -1)
     closed = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
     return F.filter(closed, lambda w: F.length(w) > 1)
 

@@ -82,7 +82,8 @@ def topic_rank(messages: DataFrame, scores: DataFrame, book: DataFrame, k: int =
         F.map_entries("_b"), F.lit(0.0),
         lambda acc, e: acc + e["value"] * F.coalesce(F.element_at(F.col("_m"), e["key"]), F.lit(0.0)),
     )
-    scored = skew_join(asked, pairs, ["sender"], spread=["mid"], hot=hot_keys(messages, ["sender"])).select(
+    hot = hot_keys(messages, ["sender"])
+    scored = skew_join(asked, pairs, ["sender"], spread=["mid"], hot=hot, right_spread=["recipient"]).select(
         "mid", F.col("recipient").alias("contact"), F.round(dot, 9).alias("score")
     )
     return top_k(scored, ["mid"], [F.desc("score"), F.asc("contact")], k)

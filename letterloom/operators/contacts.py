@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.operators.skew import hot_keys, rank_within, skew_join, top_k
+from letterloom.operators.skew import rank_within, skew_join, top_k
 
 
 def pair_messages(flat: DataFrame, n: str = "n") -> DataFrame:
@@ -88,11 +88,10 @@ def neighbors(edge_rows: DataFrame, directed: bool = False) -> DataFrame:
 def candidates(messages: DataFrame, contacts: DataFrame) -> DataFrame:
     """Each message with every contact of its sender; unknown senders get none.
 
-    A heavy sender's messages are dealt over slices that each see its contacts.
+    A heavy sender's messages, and the contacts of one with many, are dealt over slices.
     """
-    hot = hot_keys(messages, ["sender"])
     right = contacts.withColumnRenamed("user", "sender")
-    return skew_join(messages, right, ["sender"], spread=["mid"], hot=hot)
+    return skew_join(messages, right, ["sender"], spread=["mid"], right_spread=["contact"])
 
 
 def contacts_minus_recipients(messages: DataFrame, contacts: DataFrame, flat: DataFrame) -> DataFrame:

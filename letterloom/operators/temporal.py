@@ -142,7 +142,7 @@ def time_features(flat: DataFrame, horizon: Column | int) -> DataFrame:
     def side(direction: tuple[str, str], names: tuple[str, str], flag: str) -> DataFrame:
         user, other = direction
         others = flat.select(F.col(other).alias("user")).distinct().withColumn(flag, F.lit(True))
-        profile = user_profile(flat, horizon, user).join(others, "user", "left")
+        profile = skew_join(user_profile(flat, horizon, user), others, ["user"], spread=["time"], how="left")
         joined = _with_profile(_roles(pairs, direction), profile)
         return joined.select(
             "user",

@@ -87,7 +87,8 @@ def log2_model(docs: DataFrame, vocab: DataFrame) -> DataFrame:
 def tfidf_transform(docs: DataFrame, model: DataFrame) -> DataFrame:
     """(mid, term, weight): raw count times fitted idf, unit length per document."""
     counts = term_counts(docs)
-    weighted = counts.join(model, "term").select("mid", "term", (F.col("cnt") * F.col("idf")).alias("weight"))
+    joined = skew_join(counts, model, ["term"], spread=["mid"])
+    weighted = joined.select("mid", "term", (F.col("cnt") * F.col("idf")).alias("weight"))
     return l2_normalize(weighted)
 
 

@@ -69,8 +69,11 @@ def _joined_sql(term: str, source: str, distinct: str = "") -> str:
 
 
 _BASIC = "(SELECT mid, si, ti, CASE WHEN low LIKE '-%' OR low LIKE '%-' THEN replace(low, '-', '') ELSE low END AS term FROM doc_kept WHERE length(orth) > 1)"
-query("bow_extended", _joined_sql("term", "doc_word"))(
-    lambda spark, sf: v.doc_tokens(spark, sf).select("mid", F.array_join("tokens", " ").alias("tokens"))
+_SECOND_LIST = (*ad.NOT_NAMES, "thing", "ing", "queno")  # words of the texts among them
+query("bow_extended", _joined_sql("term", f"(SELECT * FROM doc_word WHERE term NOT IN ({v.word_list(_SECOND_LIST)}))"))(
+    lambda spark, sf: v.doc_mail(spark, sf).select(
+        "mid", F.array_join(tx.bag_of_words(F.col("body"), extra_stop_words=_SECOND_LIST), " ").alias("tokens")
+    )
 )
 query("bow_basic", _joined_sql("term", _BASIC))(
     lambda spark, sf: v.doc_mail(spark, sf).select(
@@ -349,7 +352,7 @@ def _text_sim(direction):
         means = stage(sim.pair_mean_vector(flat, vectors, direction), "means")
         pairs = ct.candidates(flat.select("sender", "mid"), ct.contacts_all(flat))
         pairs = stage(pairs.select("mid", F.col("sender").alias("user"), "contact"), "pairs")
-        return _rounded(sim.text_similarity(pairs, vectors, means))
+        return _rounded(sim.text_similarity(pairs, vectors, means, every_contact=True))
 
     return run
 
@@ -364,10 +367,10 @@ def _top_sql(role: str) -> str:
     return f"""SELECT user, mid, other, score, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY user, mid ORDER BY score DESC, other) AS rank FROM (
           SELECT e.user, e.mid, e.other, round(coalesce(s.dot / (x.a * y.a), 0), 9) AS score
-          FROM (SELECT q.user, q.mid, c.mid AS other FROM (SELECT sender AS user, max(mid) AS mid FROM talk_mail GROUP BY 1) q
+          FROM (SELECT q.user, q.mid, c.mid AS other FROM asked q
                 JOIN talk_mail c ON c.{role} = q.user) e
           LEFT JOIN (SELECT q.mid, c.mid AS other, sum(a.weight * b.weight) AS dot
-                FROM (SELECT sender AS user, max(mid) AS mid FROM talk_mail GROUP BY 1) q JOIN tfidf a ON a.mid = q.mid
+                FROM asked q JOIN tfidf a ON a.mid = q.mid
                 JOIN talk_mail c ON c.{role} = q.user JOIN tfidf b ON b.mid = c.mid AND b.term = a.term GROUP BY ALL) s
             ON s.mid = e.mid AND s.other = e.other
           LEFT JOIN (SELECT mid, sqrt(sum(weight * weight)) AS a FROM tfidf GROUP BY mid) x ON x.mid = e.mid
@@ -375,26 +378,28 @@ def _top_sql(role: str) -> str:
       WHERE rank <= {N_SIMILAR}"""
 
 
+sql_view("asked", "SELECT sender AS user, mid FROM doc_split JOIN doc_mail USING (mid) WHERE part = 'dev'")
 sql_view("top_sent", _top_sql("sender"))
 sql_view("top_got", _top_sql("recipient"))
 
 
 def _flag_sql(top: str, role: str) -> str:
     return f"""SELECT q.user, q.mid, c.contact, CASE WHEN EXISTS (
-          SELECT 1 FROM {top} s JOIN talk_mail t ON t.mid = s.other WHERE s.user = q.user AND t.{role} = c.contact) THEN 1 ELSE -1 END AS flag
+          SELECT 1 FROM {top} s JOIN talk_mail t ON t.mid = s.other WHERE s.user = q.user AND s.mid = q.mid AND t.{role} = c.contact) THEN 1 ELSE -1 END AS flag
         FROM (SELECT DISTINCT user, mid FROM {top}) q JOIN (
           SELECT sender AS user, recipient AS contact FROM talk_mail UNION SELECT recipient, sender FROM talk_mail) c USING (user)"""
 
 
-def _newest(flat):
-    """(user, mid): the last message of every sender."""
-    return flat.groupBy(F.col("sender").alias("user")).agg(F.max("mid").alias("mid"))
+def _asked(flat):
+    """(user, mid): every held-out message of every sender."""
+    parts = stage(chrono_split(flat.select("sender", "mid", F.col("mid").alias("date")), percent=0.2), "parts")
+    return parts.where("part = 'dev'").select(F.col("sender").alias("user"), "mid")
 
 
 def _similar(spark, sf, role):
     flat, vectors = talk_vectors(spark, sf)
     corpus = flat.select(F.col(role).alias("user"), "mid")
-    return flat, sim.top_similar(_newest(flat), corpus, vectors, N_SIMILAR)
+    return flat, sim.top_similar(_asked(flat), corpus, vectors, N_SIMILAR)
 
 
 @query("topk_similar_from_sender", "SELECT user, mid, other, round(score, 6) AS score, rank FROM top_sent")

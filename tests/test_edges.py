@@ -39,18 +39,23 @@ def test_glue_random(spark):
     rng = random.Random(7)
     texts = [" ".join(rng.choice(["a@x", "b", "@", "c@d", "", "e.f"]) for _ in range(rng.randint(0, 8))) for _ in range(300)]
 
-    def brute(s):
-        out, keep = [], ""
-        for part in s.split():
-            if "@" in part:
-                out.append(keep + part)
-                keep = ""
-            else:
-                keep += part
-        return out
+    def glued(s):
+        pieces = s.split()
+        cuts = [0, *(i + 1 for i, p in enumerate(pieces) if "@" in p)]
+        return ["".join(pieces[a:b]) for a, b in itertools.pairwise(cuts)]
 
     rows = spark.createDataFrame([(t,) for t in texts], "x string").select("x", ad.glue_recipients(F.col("x")).alias("y"))
-    assert all(r.y == brute(r.x) for r in rows.collect())
+    assert all(r.y == glued(r.x) for r in rows.collect())
+
+
+def test_glue_many_pieces(spark):
+    assert one(spark, ad.glue_recipients, "b " * 20_000 + "c@d") == ["b" * 20_000 + "c@d"]
+    assert one(spark, ad.glue_recipients, "b " * 20_000) == []
+
+
+def test_split_ids_at_the_edges(spark):
+    assert one(spark, ad.split_ids, "") == []
+    assert one(spark, ad.split_ids, " 1\t2 \t") == [1, 2]
 
 
 def test_date_repair(spark):
@@ -138,18 +143,15 @@ def test_average_precision_random(spark):
         actual = [rng.randint(0, 8) for _ in range(rng.randint(0, 5))]
         cases[mid] = (actual, [rng.randint(0, 8) for _ in range(rng.randint(1, 12))])
 
-    def brute(actual, predicted, k=10):
-        predicted, hits, score = predicted[:k], 0, 0.0
-        for i, p in enumerate(predicted):
-            if p in actual and p not in predicted[:i]:
-                hits += 1
-                score += hits / (i + 1)
-        return score / min(len(actual), k) if actual else 0.0
+    def expected(actual, predicted, k=10):
+        """Precision at the rank of each truth's first hit, summed over the truths."""
+        ranks = sorted(predicted.index(x) + 1 for x in set(actual) & set(predicted[:k]))
+        return sum(n / rank for n, rank in enumerate(ranks, 1)) / max(1, min(len(actual), k))
 
     predicted = spark.createDataFrame([(m, i + 1, c) for m, (_, p) in cases.items() for i, c in enumerate(p)], "mid long, rank int, contact long")
     actual = spark.createDataFrame([(m, c) for m, (a, _) in cases.items() for c in a], "mid long, recipient long")
     got = {r.mid: r.ap for r in ev.average_precision(predicted, actual).collect()}
-    assert all(abs(got[m] - brute(a, p)) < 1e-9 for m, (a, p) in cases.items())
+    assert all(abs(got[m] - expected(a, p)) < 1e-9 for m, (a, p) in cases.items())
 
 
 def test_keyword_slots(spark):
@@ -268,7 +270,29 @@ def test_skew_join_equals_join(spark, skewed, how):
 
 def test_no_hot_keys(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
-    assert hot_keys(df, ["k"]) is None
+    assert hot_keys(df, ["k"]).count() == 0
+
+
+def test_right_hot_key_is_dealt_out(spark):
+    left = spark.createDataFrame([(k, m) for k in range(10) for m in range(3)], "k long, mid long")
+    right = spark.range(6000).select(F.when(F.col("id") < 5000, 7).otherwise(F.col("id") % 10).alias("k"), F.col("id").alias("x"))
+    joined = skew_join(left, right, ["k"], ["mid"], right_spread=["x"])
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tasks = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tasks > 1
+
+
+def test_hot_keys_are_counted_in_parallel(spark, skewed):
+    plan = hot_keys(skewed[1], ["sender"])._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" not in plan
+
+
+def test_null_keys_are_ranked(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, x long")
+    got = sorted((r.k or "", r.x, r.rank) for r in rank_within(df, ["k"], ["x"]).collect())
+    assert got == [("", 1, 1), ("", 2, 2), ("a", 3, 1)]
 
 
 def test_time_features_brute(skewed):
@@ -350,3 +374,23 @@ def test_random_baseline_is_distinct(spark):
     for r in rows:
         per.setdefault(r.mid, set()).add(r.contact)
     assert len(rows) == 500 and all(len(s) == 10 for s in per.values())
+
+
+def test_vectors_with_blanks_and_of_length_one(spark, tmp_path):
+    from letterloom.sources import vectors as src
+
+    (tmp_path / "a.txt").write_text("2 3\n1 3.0 0.0 4.0 \n2 \t0 0 2\n")
+    assert {r.id: r.vector for r in src.read_vectors(spark, str(tmp_path / "a.txt")).collect()} == {1: [0.6, 0, 0.8], 2: [0, 0, 1]}
+    (tmp_path / "b.txt").write_text("2 1\n1 3.0\n2 -2.5\n")
+    assert {r.id: r.vector for r in src.read_vectors(spark, str(tmp_path / "b.txt")).collect()} == {1: [1.0], 2: [-1.0]}
+
+
+def test_stages_are_dropped(spark):
+    from pathlib import Path
+
+    from letterloom.operators.skew import drop_stages, stage, stage_root
+
+    stage(spark.range(3), "x")
+    assert any(Path(stage_root(spark)).glob("x-*"))
+    drop_stages(spark)
+    assert not Path(stage_root(spark)).exists()
