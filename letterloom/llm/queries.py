@@ -61,5 +61,66 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+OP2_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+u AS (
+  SELECT *, length(x) + length(x) - length(replace(x, chr(92), ''))
+            + len(regexp_extract_all(x, '</?s>|\[/?ROLE\]|\[TURN\]|\[/?INST\]|<</?SYS>>|<unk>|<pad>')) AS n, kind
+  FROM (SELECT conv_id, turn, role, text, unnest([role, text]) AS x, unnest(['role', 'text']) AS kind FROM t)),
+v AS (
+  SELECT conv_id, turn, role, text, max(n) FILTER (kind = 'role') AS n_role, max(n) FILTER (kind = 'text') AS n_text,
+         coalesce(role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), false) AS joined
+  FROM u GROUP BY conv_id, turn, role, text)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n_text + CASE WHEN joined THEN 6 ELSE n_role + 20 END) AS BIGINT) AS formatted_chars
+FROM v GROUP BY conv_id"""
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (
+    SELECT doc_id, list_transform(range(1, len(w) - 18), lambda k: array_to_string(w[k:k + 19], ' ')) AS l
+    FROM d WHERE len(w) >= 20)),
+first AS (SELECT s, min({'d': doc_id, 'i': i}) AS f FROM win GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, i + unnest(range(20)) AS i FROM win JOIN first USING (s)
+  WHERE doc_id > f.d OR (doc_id = f.d AND i > f.i)),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d)
+SELECT d.doc_id, len(w) AS n_words, coalesce(g.n, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id) k USING (doc_id)"""
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+OP9_SQL = f"""
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, 13 AS n, s FROM (
+    SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s
+    FROM b WHERE len(w) >= 13)
+  UNION SELECT DISTINCT item_id, len(w), array_to_string(w, ' ') FROM b WHERE len(w) BETWEEN 1 AND 12),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+seen AS (
+  SELECT doc_id, n, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (
+    SELECT doc_id, n, list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' ')) AS l
+    FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, n, item_id FROM seen JOIN win USING (n, s)),
+cover AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, i + unnest(range(n)) AS i FROM hit) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id)"""
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op3_pii, op4_substrings, op5_suffix_array, op6_quality_rules, op7_licenses, op8_jaccard_join, op9_decontaminate, op10_quality)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_chat": OP2_SQL, "op4_substrings": OP4_SQL, "op9_decontaminate": OP9_SQL}
