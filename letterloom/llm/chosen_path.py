@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,9 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # similarity of 0.8 or more
 RECALL = 0.999  # of pairs right at the threshold whose bucket was split to the last level
 SPLIT, LEVELS = 100, 3
+WHOLE = 2_000  # sets of a bucket that the bitmap test takes on at once
 BLOCK = 400
+BITS = 512
 BROADCAST_KEYS = 100_000
 
 _u64 = np.uint64
@@ -53,44 +56,60 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(gram_hashes(ids, min(SHINGLE, len(ids)))) if len(ids) else ids
 
 
-def paths(tokens: np.ndarray, runs: int, levels: int = LEVELS) -> tuple[list[int], list[int]]:
-    """Bucket keys of all chosen paths, and the place of each one's parent in the list (-1 at the top)."""
-    keys: list[int] = []
-    parents: list[int] = []
-    seeds = mix(np.arange(1, runs + 1, dtype=_u64)).tolist()
-    level = [(-1, seed, tokens) for seed in seeds] if len(tokens) else []
-    for _ in range(levels):
-        following = []
-        for parent, seed, left in level:
-            if not len(left):
-                continue
-            # the chance stays that of the whole set, whatever the path has used up
-            chance = DENOMINATOR / (NUMERATOR * len(tokens))
-            hashed = mix(left ^ _u64(seed))
-            picked = left if chance >= 1 else left[hashed < _u64(int(chance * 2**64))]
-            for token, key in zip(picked.tolist(), mix(mix(picked) ^ _u64(seed)).tolist()):
-                following.append((len(keys), key, token, left))
-                keys.append(key)
-                parents.append(parent)
-        level = [(at, key, left[left != _u64(token)]) for at, key, token, left in following]
-    return keys, parents
-
+def paths(tokens: np.ndarray, runs: int, levels: int = LEVELS) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket keys of all chosen paths, and the place of each one's parent in the list (-1 at the top).
 
-def _signed(values) -> np.ndarray:
-    return np.array(values, _u64).view(np.int64)
+    A token goes on a path if its hash with the path's key is small; one that the path has
+    used is not picked again.  The chance stays that of the whole set on every level.
+    """
+    keys, parents = [np.zeros(0, _u64)], [np.zeros(0, np.int64)]
+    if len(tokens):
+        chance = DENOMINATOR / (NUMERATOR * len(tokens))
+        limit = _u64(2**64 - 1) if chance >= 1 else _u64(int(chance * 2**64))
+        seeds, used = mix(np.arange(1, runs + 1, dtype=_u64)), np.zeros((runs, 0), _u64)
+        above, total = np.full(runs, -1), 0
+        marks = mix(tokens)
+        for _ in range(levels):
+            if not len(seeds):
+                break
+            path, at = [], []
+            step = max(1, 2_000_000 // len(tokens))  # a very long text takes a few paths at once
+            for start in range(0, len(seeds), step):
+                hit = mix(tokens[None, :] ^ seeds[start : start + step, None]) <= limit
+                for k in range(used.shape[1]):
+                    hit &= tokens[None, :] != used[start : start + step, k, None]
+                row, column = np.nonzero(hit)
+                path.append(row + start)
+                at.append(column)
+            path, at = np.concatenate(path), np.concatenate(at)
+            seeds = mix(marks[at] ^ seeds[path])
+            keys.append(seeds)
+            parents.append(above[path])
+            used = np.column_stack([used[path], tokens[at]])
+            above, total = np.arange(total, total + len(path)), total + len(path)
+    return np.concatenate(keys), np.concatenate(parents)
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """``BITS`` bits, each the parity of the tokens that fall on it.
+
+    Two bitmaps differ in no more bits than their sets differ in tokens.
+    """
+    parity = np.bincount((tokens % _u64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(parity.astype(np.uint8))
 
 
-_ROWS = "doc_id long, tag long, set binary, size long, keys array<long>, parents array<int>"
+_ROWS = "doc_id long, tag long, set binary, size long, bits binary, keys array<long>, parents array<int>"
 
 
 def describe(docs: DataFrame, runs: int) -> DataFrame:
-    """``doc_id, tag, set, size, keys, parents`` per row: digest and size of its shingle set, and its paths."""
+    """``doc_id, tag, set, size, bits, keys, parents`` per row: digest, size, bitmap and paths of its shingle set."""
 
     def row(r: dict) -> tuple:
         tokens = shingles(r["text"])
         keys, parents = paths(tokens, runs)
         digest = bytes.fromhex(c.sha(tokens.tobytes())[:32]) if len(tokens) else None
-        return r["doc_id"], r["tag"], digest, len(tokens), _signed(keys), parents
+        return r["doc_id"], r["tag"], digest, len(tokens), bitmap(tokens).tobytes(), keys.view(np.int64), parents
 
     return c.map_rows(docs.select("doc_id", F.xxhash64("text").alias("tag"), "text"), row, _ROWS)
 
@@ -108,65 +127,106 @@ def _node_doc(node: Column) -> Column:
     return F.when(high != c.NULL_ID, high)
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """``key, node`` rows of buckets with two nodes or more, split level by level; written out."""
-    entry = F.arrays_zip("keys", "parents").alias("e")
-    flat = nodes.select("node", "keys", F.explode(entry).alias("e"))
-    flat = flat.select("node", F.col("e.keys").alias("key"), F.when(F.col("e.parents") >= 0, F.get("keys", F.col("e.parents"))).alias("parent"))
-    level = flat.where("parent is null").select("key", "node")
+def _buckets(rows: DataFrame) -> DataFrame:
+    """``key, set, n`` rows of buckets with two sets or more, split level by level; written out.
+
+    Copies of a set fall together before the shuffle.
+    """
+    flat = rows.where("set is not null").select("set", "keys", F.explode(F.arrays_zip("keys", "parents")).alias("e"))
+    flat = flat.select("set", F.col("e.keys").alias("key"), F.when(F.col("e.parents") >= 0, F.get("keys", F.col("e.parents"))).alias("parent"))
+    level = flat.where("parent is null").select("key", "set")
     done: list[DataFrame] = []
     for k in range(LEVELS):
+        level = level.distinct()
         sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rows = c.stage(level.join(sizes, "key"), "bucket-level")
+        full = c.stage(level.join(sizes, "key"), "bucket-level")
         last = k == LEVELS - 1
-        done.append(rows if last else rows.where(F.col("n") <= SPLIT))
+        done.append(full if last else full.where(F.col("n") <= SPLIT))
         if last:
             break
-        large = c.stage(rows.where(F.col("n") > SPLIT).select(F.col("key").alias("parent")).distinct(), "bucket-large")
+        large = c.stage(full.where(F.col("n") > SPLIT).select(F.col("key").alias("parent")).distinct(), "bucket-large")
         n = large.count()
         if not n:
             break
         large = F.broadcast(large) if n <= BROADCAST_KEYS else large
-        level = flat.where("parent is not null").join(large, "parent", "left_semi").select("key", "node")
-    out = done[0]
-    for rows in done[1:]:
-        out = out.unionByName(rows)
-    return out
+        level = flat.where("parent is not null").join(large, "parent", "left_semi").select("key", "set")
+    return reduce(DataFrame.unionByName, done)
+
+
+def _possible(buckets: DataFrame, sketches: DataFrame, parts: int) -> DataFrame:
+    """Rows of ``buckets`` whose set has a partner in the bucket that size and bitmap do not rule out.
+
+    Sets as similar as the threshold differ in at most (D - N) / (D + N) of the sum of their
+    sizes, so a pair whose bitmaps differ in more bits is none.  Rows of buckets of more than
+    ``WHOLE`` sets all stay; those are cut into blocks later.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        key, size = table.column("key").to_numpy(), table.column("size").to_numpy()
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), _u64).reshape(len(key), BITS // 64)
+        keep = np.zeros(len(key), bool)
+        order = np.argsort(key, kind="stable")
+        edges = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+        for at in np.split(order, edges[1:]):
+            if len(at) > WHOLE:
+                keep[at] = True
+                continue
+            for start in range(0, len(at), 64):
+                some = at[start : start + 64]
+                apart = np.bitwise_count(bits[some, None] ^ bits[None, at]).sum(2, dtype=np.int64)
+                ok = apart * (DENOMINATOR + NUMERATOR) <= (size[some, None] + size[None, at]) * (DENOMINATOR - NUMERATOR)
+                ok[np.arange(len(some)), np.arange(start, start + len(some))] = False
+                keep[some] = ok.any(1)
+        rows = pa.array(np.flatnonzero(keep))
+        return table.select(["key", "set"]).take(rows)
+
+    joined = buckets.where(F.col("n") <= WHOLE).join(sketches, "set").select("key", "set", "size", "bits")
+    joined = joined.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
+    kept = joined.groupBy("part").applyInArrow(run, "key long, set binary")
+    return kept.unionByName(buckets.where(F.col("n") > WHOLE).select("key", "set"))
 
 
 def _distinct_buckets(rows: DataFrame) -> DataFrame:
-    """Of buckets with the very same nodes only the one with the least key."""
-    member = F.xxhash64("node")
+    """``key, set, n`` without buckets whose sets all meet in a bucket with a lesser key too.
+
+    First go those with the very same sets, then those with a part of another's.
+    """
+    member = F.xxhash64("set")
     signature = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 20)).alias("s")
     )
     kept = signature.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key", "n")
-    return rows.select("key", "node").join(kept, "key")
+    rows = c.stage(rows.join(kept, "key"), "bucket-kept")
+    lists = rows.groupBy("set").agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("in"))
+    pairs = lists.select(F.explode("in").alias("b"), "in").select("b.key", "b.n", F.explode("in").alias("a"))
+    meet = pairs.where(F.col("a.key") < F.col("key")).groupBy("key", "n", F.col("a.key").alias("other")).count()
+    inside = meet.where(F.col("count") == F.col("n")).select("key").distinct()
+    return rows.join(inside, "key", "left_anti")
 
 
 def _units(rows: DataFrame) -> DataFrame:
-    """``key, low, high, block, node, shared`` rows: each (key, low, high) is a unit of two blocks at most.
+    """``key, low, high, block, set, shared`` rows: each (key, low, high) is a unit of two blocks at most.
 
     ``shared`` lists the keys of all buckets of the node.  In a large bucket most nodes also
     meet in another large bucket with a lesser key; pairs of two such nodes are counted there, so
     their blocks are not set against each other here.
     """
-    lists = rows.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("shared"))
-    large = rows.where(F.col("n") > BLOCK).select("node", "key")
-    meet = large.join(large.select("node", F.col("key").alias("other")), "node").where("other < key")
+    lists = rows.groupBy("set").agg(F.array_sort(F.collect_list("key")).alias("shared"))
+    large = rows.where(F.col("n") > BLOCK).select("set", "key")
+    meet = large.join(large.select("set", F.col("key").alias("other")), "set").where("other < key")
     main = meet.groupBy("key", "other").count().groupBy("key").agg(F.max_by("other", F.struct("count", "other")).alias("main"))
-    rows = rows.join(lists, "node").join(main, "key", "left")
+    rows = rows.join(lists, "set").join(main, "key", "left")
     rows = rows.withColumn("covered", F.coalesce(F.array_contains("shared", F.col("main")), F.lit(False)))
     sizes = rows.groupBy("key").agg(F.count_if("covered").alias("n_covered"), F.count_if(~F.col("covered")).alias("n_open"))
     rows = rows.join(sizes, "key")
     n_open = F.ceil(F.col("n_open") / BLOCK).cast("int")
     n_all = n_open + F.ceil(F.col("n_covered") / BLOCK).cast("int")
-    place = F.xxhash64(F.lit(3), "node")
+    place = F.xxhash64(F.lit(3), "set")
     block = F.when(F.col("covered"), n_open + F.pmod(place, n_all - n_open)).otherwise(F.pmod(place, F.greatest(n_open, F.lit(1))))
     rows = rows.withColumn("block", block.cast("int")).withColumn("n_other", F.when(F.col("covered"), n_open).otherwise(n_all))
     rows = rows.where("n_other > 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_other") - 1)))
     return rows.select(
-        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "shared"
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set", "shared"
     )
 
 
@@ -228,7 +288,7 @@ def _links(units: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
             nodes = [rows["node"][i] for i in at]
             links, label = _join_unit(
                 key, np.array([rows["block"][i] for i in at]), nodes, np.array([rows["copies"][i] for i in at]),
-                [rows["shared"][i] for i in at], [np.frombuffer(rows["tokens"][i], _u64) for i in at],
+                [rows["shared"][i] for i in at], [_long(rows["tokens"][i]) for i in at],
             )
             if links.any():
                 ranked = sorted(nodes)
@@ -236,21 +296,35 @@ def _links(units: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
         node, link, parent = zip(*out) if out else ((), (), ())
         return pa.table([pa.array(node, pa.binary()), pa.array(link, pa.int64()), pa.array(parent, pa.binary())], names=["node", "links", "parent"])
 
-    joined = units.join(sets, "node").withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)))
+    joined = units.join(sets, "set").drop("set").withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)))
     return joined.groupBy("part").applyInArrow(run, _LINKS)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, copies, tokens`` of the wanted nodes, from the text of one row of each."""
-    chosen = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text").withColumn("doc", c.order_id())
-    picked = chosen.join(wanted.select("node", "copies", "doc", "tag"), ["doc", "tag"])
+    """``set, node, copies, tokens`` of the wanted sets, from the text of one row of each."""
+    chosen = docs.select(c.order_id().alias("doc"), F.xxhash64("text").alias("tag"), "text")
+    picked = chosen.join(wanted.select("set", "node", "copies", "doc", "tag"), ["doc", "tag"])
+    names = ("set", "node", "copies", "text")
+    picked = picked.groupBy("doc", "tag").agg(*[F.first(x).alias(x) for x in names]).select(*names)  # repeated rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [shingles(t).tobytes() for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.binary())], names=["node", "copies", "tokens"])
+            tokens = [_short(shingles(t)) for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(tokens, pa.binary())], names=["set", "node", "copies", "tokens"])
+
+    return picked.mapInArrow(run, "set binary, node binary, copies long, tokens binary")
 
-    return picked.select("node", "copies", "text").mapInArrow(run, "node binary, copies long, tokens binary")
+
+def _short(tokens: np.ndarray) -> bytes:
+    """Six bytes of each token: enough to tell the tokens of two texts apart."""
+    return tokens.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    short = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(short), 8), np.uint8)
+    out[:, :6] = short
+    return out.view(_u64)[:, 0]
 
 
 def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -264,17 +338,16 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """
     docs = c.documents(docs)
     spark = docs.sparkSession
+    parts = c.shuffle_partitions(spark)
     rows = c.stage(describe(docs, runs_for(recall)), "join-rows")
-    first = F.min_by(F.struct("tag", "keys", "parents"), F.struct(c.order_id(), F.col("tag")))
-    nodes = rows.where("set is not null").groupBy("set").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(c.order_id()).alias("doc"), first.alias("f")
-    )
-    nodes = nodes.select("set", "copies", "doc", "f.tag", "f.keys", "f.parents", _node(F.col("doc"), F.col("set")).alias("node"))
+    first = F.struct(c.order_id().alias("doc"), "tag", "size", "bits")
+    nodes = rows.where("set is not null").groupBy("set").agg(F.count(F.lit(1)).alias("copies"), F.min(first).alias("f"))
+    nodes = nodes.select("set", "copies", "f.*", _node(F.col("f.doc"), F.col("set")).alias("node"))
     nodes = c.stage(nodes, "join-nodes")
-    buckets = c.stage(_distinct_buckets(_buckets(nodes)), "join-buckets")
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
-    sets = _one_per_node(_sets(docs, wanted))
-    links = c.stage(_links(_units(buckets), sets, c.shuffle_partitions(spark)), "join-links")
+    possible = c.stage(_possible(_buckets(rows), nodes.select("set", "size", "bits"), parts), "join-possible")
+    buckets = c.stage(_distinct_buckets(possible), "join-buckets")
+    wanted = nodes.join(buckets.select("set").distinct(), "set", "left_semi")
+    links = c.stage(_links(_units(buckets), _sets(docs, wanted), parts), "join-links")
     linked = components(links.select(F.col("node").alias("child"), "parent"))
     totals = links.groupBy("node").agg(F.sum("links").alias("links"))
     heads = linked.select(F.col("child").alias("node"), F.col("parent").alias("head"))
@@ -304,11 +377,6 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     )
 
 
-def _one_per_node(sets: DataFrame) -> DataFrame:
-    """Repeated rows of a text give one set."""
-    return sets.groupBy("node").agg(F.first("copies").alias("copies"), F.first("tokens").alias("tokens"))
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row per class: the text that stands for it; all columns stay.
 
