@@ -183,15 +183,12 @@ def _automaton(key: str, rows: list[tuple[str, str]], window: int) -> tuple[Suff
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with ``hit_spans``, ``n_words`` and ``hit_items`` for every row.
 
-    ``docs`` has a ``text`` column and none of the three; all its columns stay.
+    ``docs`` has a ``text`` column; its other columns stay, but for any of these three names.
     ``hit_spans`` are word positions [start, end, start, end, ...), merged and in order.
     A null or wordless text has no words and no hits; repeated rows get equal results; of
     items with equal words each id is found; an item with a null id counts for the spans only.
     """
     spark = docs.sparkSession
-    taken = {"hit_spans", "hit_items", "n_words"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"docs already has columns {sorted(taken)}")
     out = docs.withColumns(
         {
             "hit_spans": F.array().cast("array<bigint>"),

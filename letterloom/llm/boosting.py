@@ -145,12 +145,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
 
 
 def score(docs: DataFrame, trees: Trees, column: str = "quality_score") -> DataFrame:
-    """``docs`` with the score of its ``text`` column as ``column``; all columns stay.
+    """``docs`` with the score of its ``text`` column as ``column``; all other columns stay.
 
     A null or empty text is scored too, as a text without words.
     """
-    if column in docs.columns:
-        raise ValueError(f"docs already has a column {column}")
+    docs = docs.drop(column)
     schema = docs.withColumn(column, F.lit(0.0)).schema
     sent = docs.sparkSession.sparkContext.broadcast(trees)  # 80 trees of depth 4: some 20 kB
 

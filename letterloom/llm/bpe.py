@@ -191,12 +191,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
 
     Every match of ``pattern`` is encoded by itself and there are no special tokens.  A null
     or empty text has no ids.  The rank file is sent to the executors with the job.
-    ``decoded`` names a column for the bytes the ids decode to.
+    ``decoded`` names a column for the bytes the ids decode to.  Columns of these two names
+    are replaced, all others stay.
     """
     spark: SparkSession = docs.sparkSession
     new = [n for n in (ids, decoded) if n]
-    if taken := set(new) & set(docs.columns):
-        raise ValueError(f"docs already has columns {sorted(taken)}")
+    docs = docs.drop(*new)
     spark.sparkContext.addFile(ranks_path)
     file = ranks_path.rsplit("/", 1)[-1]
     schema = docs.withColumns({n: F.lit(bytearray()) for n in new}).schema

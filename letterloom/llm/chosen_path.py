@@ -384,10 +384,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     classes = join(docs)
     heads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("tag") == F.col("class_tag")))
-    heads = heads.select(c.order_id().alias("_doc"), F.col("tag").alias("_tag")).distinct()
+    doc, tag = c.free_name(docs, "doc"), c.free_name(docs, "tag")
+    heads = heads.select(c.order_id().alias(doc), F.col("tag").alias(tag)).distinct()
     text = F.coalesce("text", F.lit(""))
-    marked = docs.withColumns({"_doc": c.order_id().cast("bigint"), "_tag": F.xxhash64(text)})
-    kept = marked.join(heads, ["_doc", "_tag"], "left_semi").dropDuplicates(["_doc", "_tag"])
+    marked = docs.withColumns({doc: c.order_id().cast("bigint"), tag: F.xxhash64(text)})
+    kept = marked.join(heads, [doc, tag], "left_semi").dropDuplicates([doc, tag])
     return kept.select(*docs.columns)
 
 

@@ -61,6 +61,14 @@ def row_key() -> list[Column]:
     ]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {x.lower() for x in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def order_id(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column), F.lit(NULL_ID))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -181,7 +182,7 @@ def fit(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Tagger | None:
             keys, texts, tags = [], [], []
             for text in batch.column(0).to_pylist():
                 if _ANCHOR.search(text):
-                    for piece, tag_row in _windows(text, random.Random(len(text))):
+                    for piece, tag_row in _windows(text, random.Random(zlib.crc32(c.utf8(text)))):
                         texts.append(piece)
                         tags.append(tag_row)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(tags, pa.list_(pa.int64()))], names=["piece", "tags"])
@@ -202,9 +203,9 @@ def find(docs: DataFrame, tagger: Tagger | None, base: str = "base_spans", every
     """``docs`` with flat span lists [kind, start, end, ...] of the patterns and of patterns and tagger.
 
     Positions are code points of the whole ``text``; a null or empty text has no spans.
+    Columns of these two names are replaced, all others stay.
     """
-    if taken := {base, every} & set(docs.columns):
-        raise ValueError(f"docs already has columns {sorted(taken)}")
+    docs = docs.drop(base, every)
     schema = docs.withColumns({n: F.array().cast("array<bigint>") for n in (base, every)}).schema
     sent = docs.sparkSession.sparkContext.broadcast(tagger)  # a few thousand weights
 
