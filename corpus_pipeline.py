@@ -14,27 +14,38 @@ from letterloom.llm.common import drop_stage, stage, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, and all other columns in one, where no operator's columns can clash with them."""
+    others = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("rest"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` in their order."""
+    return packed.select(*[F.col(n) if n in ("doc_id", "text") else F.col("rest")[n].alias(n) for n in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labelled ones among ``docs``."""
     trees = boosting.fit(docs, table(spark, sf_dir, "labels"))
-    scored = boosting.score(docs, trees, "_quality")
-    return scored.where(F.col("_quality") >= boosting.THRESHOLD).drop("_quality")
+    scored = boosting.score(_packed(docs), trees)
+    return _unpacked(scored.where(F.col("quality_score") >= boosting.THRESHOLD), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that near-copy links connect, the one with the least id."""
-    return chosen_path.keep_one(docs)
+    return _unpacked(chosen_path.keep_one(_packed(docs)), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
-    found = automaton.hits(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    found = automaton.hits(_packed(docs), table(spark, sf_dir, "benchmark"))
+    return _unpacked(found.where(~F.col("contaminated")), docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark of its kind in place of each personal span."""
-    return pii.redact(pii.find(docs, pii.fit(docs))).select(*docs.columns)
+    return _unpacked(pii.redact(pii.find(_packed(docs), pii.fit(docs))), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
