@@ -32,7 +32,7 @@ from letterloom.llm.repeats import gram_hashes, mix
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # similarity of 0.8 or more
 RECALL = 0.999  # of pairs right at the threshold whose bucket was split to the last level
-SPLIT, LEVELS = 100, 3
+SPLIT, LEVELS = 1_000, 3  # the bitmap test of a thousand sets costs less than splitting them
 WHOLE = 2_000  # sets of a bucket that the bitmap test takes on at once
 BLOCK = 400
 BITS = 512
