@@ -12,7 +12,9 @@ from letterloom.operators import learning as ln
 from letterloom.operators import sampling as sm
 from letterloom.operators import similarity as sim
 from letterloom.operators import temporal as tm
+from letterloom.operators import topics as tp
 from letterloom.operators import vocab as vc
+from letterloom.operators import wordgraph as wg
 from letterloom.operators.reshape import flatten_topics, relative_time
 from letterloom.operators.skew import hot_keys, stage
 from letterloom.operators.split import chrono_split
@@ -40,18 +42,19 @@ def _(spark, sf):
     return _rounded(ln.assemble_features(pairs, tm.time_features(flat, HORIZON), topics))
 
 
-def ranking_tables(spark, sf):
+def ranking_tables(spark, sf, weights="tfidf"):
     """(train pairs, candidate pairs, truth, owners) of greet_mail, features staged.
 
     The last 20 % of each sender's messages are held out; everything a feature
-    knows comes from the rest.
+    knows comes from the rest.  Topics are those of a model fitted on all bodies, and ``weights``
+    picks the message vectors: tf-idf or TW (graph of words).
     """
     log = v.greet_mail(spark, sf)
     split = chrono_split(log.select("sender", "mid", "date"))
     log = stage(
-        log.join(split.select("mid", "part"), "mid").withColumn(
-            "tokens", tx.distinct_tokens(tx.bag_of_words(F.col("body")))
-        ),
+        log.join(split.select("mid", "part"), "mid")
+        .withColumn("words", tx.bag_of_words(F.col("body")))
+        .withColumn("tokens", tx.distinct_tokens(F.col("words"))),
         "ranking-log",
     )
     train, dev = log.where("part = 'train'"), log.where("part = 'dev'")
@@ -62,12 +65,17 @@ def ranking_tables(spark, sf):
     time_features = stage(tm.time_features(timed, horizon), "ranking-time")
     contacts = stage(time_features.select("user", "contact"), "ranking-contacts")
 
-    vectors = stage(vc.tfidf_transform(log, vc.tfidf_model(train)), "ranking-vectors")
+    if weights == "tfidf":
+        vectors = vc.tfidf_transform(log, vc.tfidf_model(train))
+    else:
+        vectors = vc.l2_normalize(wg.tw_weights(log, vc.vocabulary(train, no_below=4), distinct=True))
+    vectors = stage(vectors, "ranking-vectors")
     means = {d: stage(sim.pair_mean_vector(flat, vectors, d), "ranking-means") for d in (sim.OUT, sim.IN)}
     words = stage(gr.detect_greetings(log, gr.known_names(train, DOMAIN)), "ranking-greetings")
     book = stage(gr.greeting_book(train, words), "ranking-book")
     known = flat.select("recipient").distinct()
-    topics = flatten_topics(v.topic_scores(spark, sf), 4)
+    bodies = log.select("mid", F.col("words").alias("tokens"))
+    topics = stage(flatten_topics(tp.score_topics(tp.fit_topics(bodies), bodies), 4), "ranking-topics")
 
     def features(pairs):
         pairs = stage(pairs, "ranking-pairs")
@@ -94,6 +102,12 @@ def _(spark, sf):
     return ln.rank_scores(ln.score_pairs(ln.fit_forest(train), asked))
 
 
+@query("learned_rank_tw")
+def _(spark, sf):
+    train, asked, _, _ = ranking_tables(spark, sf, weights="tw")
+    return ln.rank_scores(ln.score_pairs(ln.fit_forest(train), asked))
+
+
 @query("learned_rank_map")
 def _(spark, sf):
     train, asked, truth, owners = ranking_tables(spark, sf)

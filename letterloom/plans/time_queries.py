@@ -208,6 +208,16 @@ def _(spark, sf):
     return sm.negative_neighbors(flat, ct.neighbors(ct.edges(flat)), ct.all_users(flat))
 
 
+@query(
+    "neg_pairs_graph_labelled",
+    """SELECT sender, recipient, mid, 1 AS label FROM event_flat
+       UNION ALL SELECT sender, contact, mid, 0 FROM hub_near UNION ALL SELECT sender, contact, mid, 0 FROM hub_far""",
+)
+def _(spark, sf):
+    flat = v.event_flat(spark, sf)
+    return sm.labelled_pairs(flat, sm.negative_neighbors(flat, ct.neighbors(ct.edges(flat)), ct.all_users(flat)))
+
+
 # --- baselines -------------------------------------------------------------------
 
 sql_view("trade_dev_flat", "SELECT * FROM trade_flat WHERE mid IN (SELECT mid FROM trade_split WHERE part = 'dev')")
