@@ -360,6 +360,32 @@ def _text_sim(direction):
 query("text_sim_out", _sim_sql("out"))(_text_sim(sim.OUT))
 query("text_sim_in", _sim_sql("in"))(_text_sim(sim.IN))
 
+
+
+sql_view(
+    "loo",
+    """SELECT q.mid, t.term, sum(t.weight) AS w FROM talk_mail q
+       JOIN talk_mail c ON c.sender = q.sender AND c.recipient = q.recipient AND c.mid <> q.mid
+       JOIN tfidf t ON t.mid = c.mid GROUP BY q.mid, t.term""",
+)
+
+
+@query(
+    "text_sim_leave_one_out",
+    """SELECT q.mid, q.sender AS user, q.recipient AS contact, round(coalesce(d.dot / (x.a * o.b), 0), 6) AS sim FROM talk_mail q
+       LEFT JOIN (SELECT o.mid, sum(o.w * t.weight) AS dot FROM loo o JOIN tfidf t ON t.mid = o.mid AND t.term = o.term GROUP BY o.mid) d
+         ON d.mid = q.mid
+       LEFT JOIN (SELECT mid, sqrt(sum(w * w)) AS b FROM loo GROUP BY mid) o ON o.mid = q.mid
+       LEFT JOIN (SELECT mid, sqrt(sum(weight * weight)) AS a FROM tfidf GROUP BY mid) x ON x.mid = q.mid""",
+)
+def _(spark, sf):
+    flat, vectors = talk_vectors(spark, sf)
+    own = flat.select("mid", F.col("sender").alias("user"), F.col("recipient").alias("contact"))
+    counts = own.groupBy("user", "contact").agg(F.count(F.lit(1)).alias("n"))
+    means = stage(sim.pair_mean_vector(flat, vectors), "means")
+    return _rounded(sim.leave_one_out_similarity(own, vectors, means, counts))
+
+
 N_SIMILAR = 5
 
 
