@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from letterloom.operators.skew import stage_root
 
+BATCH_ROWS = 1_000
 NULL_ID = 2**63 - 1  # a null doc_id sorts after every other id
 
 
@@ -42,8 +43,19 @@ def drop_stage(*staged: DataFrame) -> None:
                 folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` rows at most in this session, as a text is a long row.
+
+    A session that has a lesser setting keeps it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) of any table; a null text is an empty one, other columns are left out."""
+    short_batches(df.sparkSession)
     return df.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
