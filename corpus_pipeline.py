@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from letterloom.llm import automaton, boosting, bpe, chosen_path, pii
-from letterloom.llm.common import drop_stage, stage, table
+from letterloom.llm.common import drop_stage, short_batches, stage, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _packed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text``, and all other columns in one, where no operator's columns can clash with them."""
+    short_batches(docs.sparkSession)
     others = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")]
     return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("rest"))
 
