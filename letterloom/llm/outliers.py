@@ -25,12 +25,12 @@ REPEAT_WINDOW = 8
 CORE_SHARE = 0.75  # share of a group's rows that an estimate is fitted on
 STEPS = 3  # concentration steps
 MIN_GROUP = 60  # smaller groups are pooled per language; a smaller pool is judged by the base rules alone
-LIMIT = 50.0  # squared distance; the median of clean rows is scaled to that of chi-square
+LIMIT = 20.515  # squared distance: 99.9 % of chi-square of 5 degrees of freedom
 CHI2_MEDIAN = 4.3515  # of 5 degrees of freedom
 SALTS = 16
-# Least standard deviation of each statistic: below it a difference says nothing about quality.
-FLOOR = {"x_len": 0.5, "x_word": 0.1, "x_symbol": 0.05, "x_lines": 0.15, "x_repeat": 0.12}
-DIMS = list(FLOOR)
+DIMS = ["x_len", "x_word", "x_symbol", "x_lines", "x_repeat"]
+# What the covariance of a normal core falls short by, if 0 to 5 statistics vary in it.
+SHORTFALL = (1.0, 2.7135, 1.8591, 1.6092, 1.4864, 1.4121)
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -96,6 +96,24 @@ def _vector() -> dict[str, Column]:
     }
 
 
+def _floors() -> dict[str, Column]:
+    """Standard deviation that counting alone gives each statistic in a text of a group's median size.
+
+    A count n has the error sqrt(n), so its logarithm has 1 / sqrt(n) and the root of a share of n
+    units 1 / (2 sqrt(n)).  Most groups have no symbols or repeats at all in their core, and one
+    repeated line would be infinitely far without it.
+    """
+    words = F.greatest(F.expm1("m_x_len"), F.lit(1.0))
+    chars = words * F.exp("m_x_word")
+    return {
+        "x_len": 1 / F.sqrt(words),
+        "x_word": 1 / F.sqrt(chars),
+        "x_symbol": 0.5 / F.sqrt(chars),
+        "x_lines": 0.5 / F.sqrt(F.sqrt(words)),
+        "x_repeat": 0.5 / F.sqrt(words / REPEAT_WINDOW),
+    }
+
+
 def _with_groups(rows: DataFrame, estimates: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Rows joined with their group's estimates; the rows of a hot group go to ``SALTS`` slices."""
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
@@ -126,21 +144,27 @@ def _distances(rows: DataFrame) -> DataFrame:
 
 
 def _cholesky(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """Means and lower factor columns from sums; variances get the square of their floor added."""
+    """Means and lower factor columns from sums and floors ``f_*``, which are kept.
+
+    The covariance of the core is made that of all rows, then variances get the square of their floor added.
+    """
     n = F.col("n")
     for d in DIMS:
         moments = moments.withColumn(f"m_{d}", F.col(f"s_{d}") / n)
+    varied = [F.when(F.col(f"q_{d}_{d}") / n - F.col(f"m_{d}") ** 2 > F.col(f"f_{d}") ** 2, 1).otherwise(0) for d in DIMS]
+    short = F.get(F.array(*[F.lit(x) for x in SHORTFALL]), reduce(lambda a, b: a + b, varied))
+    moments = moments.withColumn("_short", short)
     for i, a in enumerate(DIMS):
         for j in range(i + 1):
             b = DIMS[j]
-            cov = F.col(f"q_{b}_{a}") / n - F.col(f"m_{a}") * F.col(f"m_{b}")
+            cov = (F.col(f"q_{b}_{a}") / n - F.col(f"m_{a}") * F.col(f"m_{b}")) * F.col("_short")
             if i == j:
-                cov = F.greatest(cov, F.lit(0.0)) + F.lit(FLOOR[a] ** 2)
+                cov = F.greatest(cov, F.lit(0.0)) + F.col(f"f_{a}") ** 2
             for k in range(j):
                 cov = cov - F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}")
             value = F.sqrt(F.greatest(cov, F.lit(1e-9))) if i == j else cov / F.col(f"l_{j}{j}")
             moments = moments.withColumn(f"l_{i}{j}", value)
-    return moments.select(*keys, *[f"m_{d}" for d in DIMS], *[f"l_{i}{j}" for i in range(len(DIMS)) for j in range(i + 1)])
+    return moments.select(*keys, *[f"f_{d}" for d in DIMS], *[f"m_{d}" for d in DIMS], *[f"l_{i}{j}" for i in range(len(DIMS)) for j in range(i + 1)])
 
 
 def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -160,11 +184,11 @@ def _start(rows: DataFrame, keys: list[str]) -> DataFrame:
     both = centre.withColumnRenamed("cut", "mid").join(spread, [*keys, "dim"])
     wide = both.groupBy(*keys).agg(
         *[F.max(F.when(F.col("dim") == d, F.col("mid"))).alias(f"m_{d}") for d in DIMS],
-        *[
-            F.max(F.when(F.col("dim") == d, F.sqrt((1.4826 * F.col("cut")) ** 2 + F.lit(FLOOR[d] ** 2)))).alias(f"l_{i}{i}")
-            for i, d in enumerate(DIMS)
-        ],
-    )
+        *[F.max(F.when(F.col("dim") == d, 1.4826 * F.col("cut"))).alias(f"_mad_{d}") for d in DIMS],
+    ).withColumns({f"f_{d}": floor for d, floor in _floors().items()})
+    wide = wide.withColumns(
+        {f"l_{i}{i}": F.sqrt(F.col(f"_mad_{d}") ** 2 + F.col(f"f_{d}") ** 2) for i, d in enumerate(DIMS)}
+    ).drop(*[f"_mad_{d}" for d in DIMS])
     zero = {f"l_{i}{j}": F.lit(0.0) for i in range(len(DIMS)) for j in range(i)}
     start = c.stage(wide.withColumns(zero), "outlier-start")
     c.drop_stage(centre)
@@ -184,7 +208,8 @@ def robust_estimates(rows: DataFrame, keys: list[str], core: float = CORE_SHARE,
         far = _distances(_with_groups(rows, estimate, keys)).select(*keys, "doc_id", *DIMS, "d2")
         cut = c.stage(_quantiles(far, keys, log_d2, 0.01, core), "outlier-cut")
         near = _with_groups(far, cut, keys).where(log_d2 <= F.col("cut"))
-        following = c.stage(_cholesky(_moments(near, keys), keys), "outlier-estimate")
+        floors = estimate.select(*keys, *[f"f_{d}" for d in DIMS])
+        following = c.stage(_cholesky(_moments(near, keys).join(floors, keys), keys), "outlier-estimate")
         c.drop_stage(cut, estimate)
         estimate = following
     far = _distances(_with_groups(rows, estimate, keys)).select(*keys, "d2")

@@ -226,6 +226,35 @@ def test_quality_rules(spark, empty):
     assert outliers.quality_rules_report(empty).count() == 0
 
 
+def test_each_statistic_rejects_alone(spark):
+    rng = random.Random(18)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    clean = [(k, "\n".join(line(rng.randrange(8, 12)) for _ in range(rng.randrange(15, 35)))) for k in range(300)]
+    lines = clean[7][1].split("\n")
+    passage = line(16)
+    few = line(5)
+    mild = [
+        (300, "\n".join([*lines, few, line(9), few])),
+        (301, clean[8][1] + " #"),
+        (302, f"{clean[9][1]}\n{passage} and {passage}"),
+    ]
+    planted = {
+        "x_len": line(20_000),
+        "x_word": " ".join(word() + word() for _ in range(230)),
+        "x_symbol": " ".join(w + "$" * (k % 2) for k, w in enumerate(line(230).split())),
+        "x_lines": "\n".join(f"{line(6)}\n{few}" for _ in range(20)),
+        "x_repeat": f"{line(160)} {(again := line(32))} {line(3)} {again}",
+    }
+    rows = clean + mild + [(1000 + k, t) for k, t in enumerate(planted.values())]
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    got = {r.doc_id: r for r in outliers.quality_rules_report(df).collect()}
+    for k, name in enumerate(planted):
+        assert not got[1000 + k].base_failed and not got[1000 + k].kept, name
+    assert all(got[d].kept for d, _ in mild)
+    assert sum(got[d].kept for d, _ in clean) >= 297
+
+
 # --- 7 ------------------------------------------------------------------------------------
 
 
