@@ -1,9 +1,11 @@
-"""License scan: winnowed fingerprints pick candidates, banded alignment measures them.
+"""License scan: winnowed fingerprints pick chains, alignment between their hits measures them.
 
 Templates are cut into runs of ``GRAM`` words, of which winnowing keeps the least hash of
 every ``WINNOW`` in a row.  The kept ones form an inverted index from hash to (template,
-word).  A document's runs are looked up in it; hits of one template near one diagonal are a
-candidate, and the template is aligned with the words there in a band around the diagonals.
+word).  A document's runs are looked up in it.  Hits of one template that follow each other in
+the document and in the template are one chain, however many words stand between them; a jump
+between diagonals costs a little, so that stray runs far away are not drawn in.  The words
+between the hits of a chain, and those before and after it, are aligned.
 
 A copy is found if one kept run of words is intact, which every copy with ``GRAM + WINNOW - 1``
 unchanged words in a row has.
@@ -14,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,9 @@ from letterloom.llm.automaton import _WORD, normal_words
 from letterloom.llm.repeats import mix
 
 GRAM, WINNOW = 3, 3
-BAND = 8
 MIN_COVERAGE = 0.8
+MIN_MATCHED = 20  # words of a chain's runs, less its jumps, from which a lesser part of a template is reported too
+JUMP = 0.5  # price of a jump over d diagonals, per log2(1 + d)
 TEMPLATE_CHARS = 4_000_000  # all templates together; they are sent to every task
 
 # Notices and texts of public licenses.
@@ -123,84 +127,118 @@ class TemplateIndex:
             value = value * base + part
         return np.where(np.logical_and.reduce([p > 0 for p in parts]), value, np.uint64(0))
 
-    def candidates(self, code: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, least and greatest diagonal) of groups of hits; a diagonal is document word - template word."""
+    def chains(self, code: np.ndarray) -> list[tuple[int, float, list[tuple[int, int]]]]:
+        """(template, score, hits) of the chains of hits, best first within a template; no hit is in two of them.
+
+        A hit is (document word, template word).  It follows the hit that gives the best sum of
+        new template words less the price of the jump.
+        """
         runs = self._runs(code)
-        diagonals: dict[int, list[int]] = defaultdict(list)
+        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for at in np.flatnonzero(runs).tolist():
             for template, place in self.index.get(int(runs[at]), ()):
-                diagonals[template].append(at - place)
+                places[template].append((at, place))
         out = []
-        for template, found in diagonals.items():
-            found.sort()
-            low = high = found[0]
-            for d in found[1:]:
-                if d - low > BAND:
-                    out.append((template, low, high))
-                    low = d
-                high = d
-            out.append((template, low, high))
+        for template, hits in places.items():
+            at, place = np.array(hits, np.int64).T
+            score, before = np.full(len(hits), float(GRAM)), np.full(len(hits), -1)
+            for j in range(1, len(hits)):
+                d_at, d_place = at[j] - at[:j], place[j] - place[:j]
+                jump = np.abs(d_at - d_place)
+                follows = np.where(jump == 0, d_at > 0, (d_at >= GRAM) & (d_place >= GRAM))
+                gain = score[:j] + np.minimum(d_place, GRAM) - JUMP * np.log2(1 + jump)
+                gain = np.where(follows, gain, 0)
+                k = int(np.argmax(gain))
+                if gain[k] > score[j]:
+                    score[j], before[j] = gain[k], k
+            used = np.zeros(len(hits), bool)
+            for end in np.argsort(-score, kind="stable").tolist():
+                chain, k = [], end
+                while k >= 0 and not used[k]:
+                    used[k] = True
+                    chain.append(hits[k])
+                    k = int(before[k])
+                if chain:
+                    out.append((template, float(score[end] - (score[k] if k >= 0 else 0)), chain[::-1]))
         return out
 
-    def scan(self, words: list[bytes], min_coverage: float = MIN_COVERAGE) -> list[Match]:
-        """Matches with enough coverage, by start; of overlapping ones of a template the best stays."""
+    def scan(self, words: list[bytes], min_coverage: float = MIN_COVERAGE, min_matched: int = MIN_MATCHED) -> list[Match]:
+        """Matches with enough coverage or enough words, by start.
+
+        Where spans overlap by half of one or more, the match with more matched less missing
+        words stays; equal ones all do.
+        """
         if len(words) < GRAM:
             return []
         get = self.numbers.get
         code = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-        found = []
-        for template, low, high in self.candidates(code):
-            covered, start, end = align(self.coded[template], code, low - BAND, high + BAND)
-            if covered >= min_coverage * len(self.coded[template]):
+        counts = np.bincount(code, minlength=len(self.numbers) + 1)
+        found, most = [], {}
+        for template, score, hits in self.chains(code):
+            own = self.coded[template]
+            if template not in most:  # words that the document has at all
+                distinct, wanted = np.unique(own, return_counts=True)
+                most[template] = int(np.minimum(counts[distinct], wanted).sum())
+            if score < min_matched and most[template] < min_coverage * len(own):
+                continue
+            covered, start, end = align(own, code, hits)
+            if covered >= min_coverage * len(own) or score >= min_matched:
                 found.append(Match(template, covered, start, end))
-        found.sort(key=lambda m: (m.template, -m.covered, m.start))
+        size = [len(t) for t in self.templates]
+        rank = lambda m: (size[m.template] - 2 * m.covered, m.start, m.end)
+        found.sort(key=lambda m: (*rank(m), m.template))
         kept: list[Match] = []
         for m in found:
-            if all(k.template != m.template or k.end <= m.start or m.end <= k.start for k in kept):
+            inside = lambda k: 2 * (min(m.end, k.end) - max(m.start, k.start)) >= min(m.end - m.start, k.end - k.start)
+            if all(not inside(k) or (k.template != m.template and rank(k) == rank(m)) for k in kept):
                 kept.append(m)
         return sorted(kept, key=lambda m: (m.start, m.template))
 
 
-def align(template: np.ndarray, code: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
-    """Best alignment of a template inside a band of diagonals: equal words, first and last document word.
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` and each prefix of ``b``, the empty one first."""
+    row = np.zeros(len(b) + 1, np.int64)
+    for word in a.tolist():
+        row[1:] = np.maximum(row[1:], row[:-1] + (b == word))
+        row = np.maximum.accumulate(row)
+    return row
+
+
+def align(template: np.ndarray, code: np.ndarray, hits: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """Best alignment through the hits of a chain: equal words, first and last document word.
 
     Scores are 2 for equal words and -1 for each other word on either side; ends of the
     template may stay unaligned at that price, the document's are free.
     """
-    width = high - low + 1
-    best = np.full(width, 0)
-    # per cell: equal words so far and the document word where the path began
-    hits, begin = np.zeros(width, np.int64), np.full(width, -1)
-    top = (-(10**9), 0, 0, 0)
-    for i, word in enumerate(template.tolist()):
-        at = i + low + np.arange(width)  # document word of each diagonal in this row
-        inside = (at >= 0) & (at < len(code))
-        equal = inside & (code[np.clip(at, 0, len(code) - 1)] == word)
-        score = best + np.where(equal, 2, -2)
-        new_hits = hits + equal
-        new_begin = np.where(equal & (begin < 0), at, begin)
-        # a template word without a partner: from the next diagonal of the row before
-        skip = np.append(best[1:], -(10**9)) - 1
-        use = skip > score
-        score = np.where(use, skip, score)
-        new_hits = np.where(use, np.append(hits[1:], 0), new_hits)
-        new_begin = np.where(use, np.append(begin[1:], -1), new_begin)
-        for k in range(1, width):  # a document word without a partner: from the diagonal to the left
-            if new_begin[k - 1] >= 0 and score[k - 1] - 1 > score[k]:
-                score[k], new_hits[k], new_begin[k] = score[k - 1] - 1, new_hits[k - 1], new_begin[k - 1]
-        best, hits, begin = score, new_hits, new_begin
-        k = int(np.argmax(np.where(equal, best - (len(template) - 1 - i), -(10**9))))
-        if equal[k] and best[k] - (len(template) - 1 - i) > top[0]:
-            top = (int(best[k]) - (len(template) - 1 - i), int(hits[k]), int(begin[k]), int(at[k]) + 1)
-    return top[1:]
+    first, last = hits[0], hits[-1]
+    covered, done_at, done_place = 0, *first
+    for at, place in hits:
+        if at > done_at:  # words between two hits; what follows on the same diagonal has none
+            covered += int(_common(template[done_place:place], code[done_at:at])[-1])
+        new = min(GRAM, place + GRAM - done_place)
+        covered, done_at, done_place = covered + new, at + GRAM, place + GRAM
+
+    def beyond(own: np.ndarray, near: np.ndarray) -> tuple[int, int]:
+        """Equal words and document words of the best way on from an end; a word further off cannot pay."""
+        same = _common(own, near[: 4 * len(own)])
+        k = int(np.argmax(4 * same - np.arange(len(same))))
+        return int(same[k]), k
+
+    more, left = beyond(template[: first[1]][::-1], code[: first[0]][::-1])
+    also, right = beyond(template[last[1] + GRAM :], code[last[0] + GRAM :])
+    return covered + more + also, first[0] - left, last[0] + GRAM + right
 
 
 _built: dict[str, TemplateIndex] = {}
 
 
-def scan_licenses(docs: DataFrame, templates: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, templates: DataFrame, min_coverage: float = MIN_COVERAGE, min_matched: int = MIN_MATCHED
+) -> DataFrame:
     """One row per match: doc_id, template_id, coverage, matched words, and the span in code points.
 
+    Parts with less than ``min_coverage`` have rows too if their unchanged runs have ``min_matched`` words.
+
     ``templates`` has ``template_id`` and ``text``; texts of fewer than three words are refused.
     A null or empty document has no matches, repeated rows give repeated matches, and
     templates with equal words are all reported.
@@ -221,7 +259,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, min_coverage: float = M
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                matches = index.scan(normal_words(text), min_coverage)
+                matches = index.scan(normal_words(text), min_coverage, min_matched)
                 at = [m.span() for m in _WORD.finditer(text)] if matches else []
                 for m in matches:
                     n = len(index.templates[m.template])

@@ -274,6 +274,35 @@ def test_license_copies(spark, empty):
     assert licenses.scan_licenses(empty, licenses.default_templates(spark)).count() == 0
 
 
+@pytest.mark.parametrize("n", [9, 30, 200])
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.7])
+def test_license_with_words_inserted(spark, n, share):
+    words = licenses.TEMPLATES["MIT"].split()
+    at = int(share * len(words))
+    text = " ".join([*words[:at], *[f"q{k}" for k in range(n)], *words[at:]])
+    half = " ".join(words[:at])
+    twice = f"{text} and {text}"
+    got = licenses.scan_licenses(table(spark, [(1, text), (2, half), (3, twice)]), licenses.default_templates(spark)).collect()
+    assert Counter((r.doc_id, r.template_id) for r in got) == {(1, "MIT"): 1, (2, "MIT"): 1, (3, "MIT"): 2}
+    for r in got:
+        size = len(automaton.normal_words(licenses.TEMPLATES["MIT"]))
+        want = len(automaton.normal_words(half)) if r.doc_id == 2 else size
+        assert r.n_matched == want and r.coverage == want / size
+        if r.doc_id == 1:
+            assert (r.start, r.end) == (0, len(text.rstrip(".")))
+
+
+def test_aligned_words_equal_plain_dynamic_programming():
+    rng = random.Random(12)
+    for _ in range(200):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(0, 15))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert licenses._common(np.array(a, np.int64), np.array(b, np.int64)).tolist() == best[-1]
+
+
 # --- 8 ------------------------------------------------------------------------------------
 
 
