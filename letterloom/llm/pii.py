@@ -1,11 +1,10 @@
 """Personal data: exact patterns, plus spans found by a character BiLSTM-CRF.
 
 The tagger is trained in numpy on a bounded sample of windows around spans that the patterns
-label, some of them rewritten into forms that the patterns do not know.  Every kind of span
-holds a digit or an @, or stands next to one in its usual surroundings, so tagging covers
-stretches of ``REACH`` characters around each such character of the whole text.  A stretch is cut
+label, some of them rewritten into forms that the patterns do not know, and of windows without
+any.  The whole text is tagged, since a rewritten address holds neither digit nor @.  It is cut
 into overlapping windows; each character takes the emissions of the window in which it lies
-most central, and one Viterbi pass over the stretch reconciles them.
+most central.  Viterbi passes over overlapping pieces of ``PIECE`` characters reconcile them.
 """
 
 from __future__ import annotations
@@ -23,7 +22,8 @@ from letterloom.llm import common as c
 from letterloom.llm.tagger import KINDS, N_TAGS, STRIDE, WINDOW, Tagger, classes, tag_spans, train
 
 SAMPLE_WINDOWS = 1500  # labelled windows a fit reads at most
-REACH = 30
+REACH = 30  # surroundings of digits and @ in the windows of the fit
+PIECE, LAP = 2000, 200  # characters of one Viterbi pass, and how many it shares with the next
 SURE = 0.9  # least mean marginal of an added span
 BATCH_STEPS = 400_000  # characters tagged at once
 
@@ -102,9 +102,17 @@ def _emissions(tagger: Tagger, pieces: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def _pieces(length: int) -> list[tuple[int, int]]:
+    """Overlapping pieces of a whole text."""
+    return [(a, min(length, a + PIECE)) for a in range(0, max(1, length - LAP), PIECE - LAP)] if length else []
+
+
 def tag(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
-    """Sure spans per text; each holds a digit or an @."""
-    jobs = [(i, a, b) for i, text in enumerate(texts) for a, b in stretches(text)]
+    """Sure spans per text; all but addresses hold a digit or an @.
+
+    A span belongs to the piece in whose own part it begins; neighbours meet in the middle of what they share.
+    """
+    jobs = [(i, a, b) for i, text in enumerate(texts) for a, b in _pieces(len(text))]
     jobs.sort(key=lambda j: j[2] - j[1])  # neighbours in a batch have like lengths
     out: list[list[Span]] = [[] for _ in texts]
     while jobs:
@@ -120,9 +128,11 @@ def tag(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
         tags, sure = tagger.decode(grid)
         for row, (i, a, b) in enumerate(now):
             for kind, start, end in _read_spans(tags[row, : b - a]):
-                if sure[row, start:end].mean() >= SURE and _ANCHOR.search(texts[i], a + start, a + end):
+                own = (start >= LAP // 2 or a == 0) and (start < PIECE - LAP // 2 or b == len(texts[i]))
+                anchored = kind == 0 or _ANCHOR.search(texts[i], a + start, a + end)
+                if own and anchored and sure[row, start:end].mean() >= SURE:
                     out[i].append((kind, a + start, a + end))
-    return out
+    return [sorted(spans, key=lambda s: s[1]) for spans in out]
 
 
 def _read_spans(tags: np.ndarray) -> list[Span]:
@@ -171,6 +181,9 @@ def _windows(text: str, rng: random.Random) -> list[tuple[str, list[int]]]:
         piece, tags = piece + text[last:b], tags + [0] * (b - last)
         cut = max(0, min(len(piece) - WINDOW, rng.randrange(max(1, len(piece) - WINDOW + 1))))
         out.append((piece[cut : cut + WINDOW], tags[cut : cut + WINDOW]))
+    at = rng.randrange(max(1, len(text) - WINDOW + 1))
+    if not _ANCHOR.search(text, at, at + WINDOW):  # what plain text looks like
+        out.append((text[at : at + WINDOW], [0] * len(text[at : at + WINDOW])))
     return out
 
 

@@ -174,6 +174,29 @@ def test_tagger_adds_spans_and_base_ones_stay(spark, empty):
     assert pii.pii_report(empty).count() == 0
 
 
+def test_tagger_finds_rewritten_addresses_without_digits(spark):
+    rng, rows = random.Random(16), []
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 8)))
+    for k in range(400):
+        rows.append((k, f"the {name()} and {name()} of {name()}.{name()}@{name()}.example or {name()} thing {name()} of {name()} and {name()}"))
+    plain = " ".join(name() for _ in range(700))
+    asked = {900: "the abcde and gadeb of jane.hadge(at)corp.example or abcde thing", 901: f"{plain} of dana.feba[at]corp.example or {plain}"}
+    df = table(spark, [*rows, *asked.items(), (902, plain)])
+    got = {r.doc_id: r for r in pii.find(df, pii.fit(df)).where("doc_id >= 900").collect()}
+    for d, address in ((900, "jane.hadge(at)corp.example"), (901, "dana.feba[at]corp.example")):
+        flat = got[d].pii_spans
+        assert any(k == 0 and got[d].text[s:e] == address for k, s, e in zip(flat[::3], flat[1::3], flat[2::3]))
+    assert len(got[902].pii_spans) == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 200, 201, 2000, 2001, 3800, 3801, 20_000])
+def test_pieces_cover_the_whole_text(n):
+    pieces = pii._pieces(n)
+    assert {x for a, b in pieces for x in range(a, b)} == set(range(n))
+    own = [x for a, b in pieces for x in range(a, b) if (x - a >= pii.LAP // 2 or a == 0) and (x - a < pii.PIECE - pii.LAP // 2 or b == n)]
+    assert own == list(range(n))
+
+
 # --- 4 and 5 ----------------------------------------------------------------------------
 
 
