@@ -3,15 +3,17 @@
 The tagger is trained in numpy on a bounded sample of windows around spans that the patterns
 label, some of them rewritten into forms that the patterns do not know, and of windows without
 any.  The whole text is tagged, since a rewritten address holds neither digit nor @.  It is cut
-into overlapping windows; each character takes the emissions of the window in which it lies
-most central.  Viterbi passes over overlapping pieces of ``PIECE`` characters reconcile them.
+into overlapping windows; each character takes the scores of the window in which it lies most
+central, and one Viterbi path over the whole text reconciles them.
 """
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.llm import common as c
-from letterloom.llm.tagger import KINDS, N_TAGS, STRIDE, WINDOW, Tagger, classes, tag_spans, train
+from letterloom.llm.tagger import KINDS, N_TAGS, WINDOW, Tagger, classes, tag_spans, train
 
 SAMPLE_WINDOWS = 1500  # labelled windows a fit reads at most
 REACH = 30  # surroundings of digits and @ in the windows of the fit
-PIECE, LAP = 2000, 200  # characters of one Viterbi pass, and how many it shares with the next
+WIDE, MARGIN = 512, 20  # characters of a window when tagging, and how many at each end its neighbours serve
+PIECE = 2000  # characters of a stretch decoded at once
 SURE = 0.9  # least mean marginal of an added span
-BATCH_STEPS = 400_000  # characters tagged at once
+BATCH_WINDOWS, BATCH_STEPS = 512, 20_000  # windows scored, and characters decoded, at once
 
 Span = tuple[int, int, int]  # kind index, start, end
 _ANCHOR = re.compile("[0-9@]")
@@ -82,59 +85,125 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _emissions(tagger: Tagger, pieces: list[np.ndarray]) -> list[np.ndarray]:
-    """Emissions of each piece, from windows of which every character takes the most central one."""
-    rows, place = [], []
-    for k, piece in enumerate(pieces):
-        for start in range(0, max(1, len(piece) - WINDOW + STRIDE), STRIDE):
-            row = np.zeros(WINDOW, np.int64)
-            part = piece[start : start + WINDOW]
-            row[: len(part)] = part
-            rows.append(row)
-            place.append((k, start))
-    out = [np.zeros((len(p), N_TAGS)) for p in pieces]
-    found = tagger.emissions(np.array(rows))
-    margin = (WINDOW - STRIDE) // 2
-    for (k, start), e in zip(place, found):
-        first = margin if start else 0  # the window before covers what is left of this
-        end = min(len(out[k]) - start, WINDOW)
-        out[k][start + first : start + end] = e[first:end]
-    return out
+Window = tuple[int, int]  # text, start
+
+
+def _windows_of(length: int) -> range:
+    """Starts of the windows of a text; of two that share characters each serves the half more central in it."""
+    return range(0, max(1, length - 2 * MARGIN), WIDE - 2 * MARGIN) if length else range(0)
+
 
+def _scored(tagger: Tagger, codes: list[np.ndarray], windows: list[Window]) -> Iterator[tuple[list[tuple], np.ndarray]]:
+    """Batches of (text, its first character served, row, steps served) with the tag scores (steps, tags, rows)."""
+    size = lambda w: min(WIDE, len(codes[w[0]]) - w[1])
+    windows = sorted(windows, key=size)  # neighbours in a batch have like lengths
+    for at in range(0, len(windows), BATCH_WINDOWS):
+        some = windows[at : at + BATCH_WINDOWS]
+        rows, served = np.zeros((len(some), size(some[-1])), np.int64), []
+        for k, (i, start) in enumerate(some):
+            n = size((i, start))
+            rows[k, :n] = codes[i][start : start + n]
+            first = MARGIN if start else 0
+            served.append((i, start + first, k, slice(first, n if start + n == len(codes[i]) else n - MARGIN)))
+        yield served, tagger.emissions(rows)
 
-def _pieces(length: int) -> list[tuple[int, int]]:
-    """Overlapping pieces of a whole text."""
-    return [(a, min(length, a + PIECE)) for a in range(0, max(1, length - LAP), PIECE - LAP)] if length else []
+
+def _server(position: int, starts: range) -> int:
+    """Number of the window that serves a character."""
+    return min(len(starts) - 1, max(0, (position - MARGIN) // starts.step))
+
+
+def _possible(first: np.ndarray, later: np.ndarray, leave: float) -> list[tuple[int, int]]:
+    """Stretches that hold every span of the best tag path of a whole text.
+
+    ``first`` and ``later`` bound what a character adds to a path, against outside, as the first
+    and as a later one between two outside ones, and ``leave`` what going back outside adds.  A run
+    whose bounds sum to less than 0 is worse than none, so characters that no better run covers are outside.
+    """
+    total = np.cumsum(later, dtype=np.float64)
+    best = np.maximum.accumulate(total[::-1])[::-1] - np.minimum.accumulate(total - first)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], best + leave >= 0, [False]]).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
 def tag(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
-    """Sure spans per text; all but addresses hold a digit or an @.
+    """Sure spans per text of its best tag path; all but addresses hold a digit or an @.
 
-    A span belongs to the piece in whose own part it begins; neighbours meet in the middle of what they share.
+    A text starts and ends outside.  One pass over all windows bounds what each character can
+    gain; the windows around stretches that can hold a span are scored again, and the path is
+    searched there alone, which gives the path of the whole text.
     """
-    jobs = [(i, a, b) for i, text in enumerate(texts) for a, b in _pieces(len(text))]
-    jobs.sort(key=lambda j: j[2] - j[1])  # neighbours in a batch have like lengths
+    codes = [classes(t) for t in texts]
+    bounds = tagger.bounds()
+    gains = [np.zeros((2, len(code)), np.float32) for code in codes]
+    for served, e in _scored(tagger, codes, [(i, a) for i, code in enumerate(codes) for a in _windows_of(len(code))]):
+        most = [np.ascontiguousarray(((e[:, 1:] + bound[:, None]).max(1) - e[:, 0]).T) for bound in bounds[:2]]
+        for i, start, k, steps in served:
+            for gain, found in zip(gains[i], most):
+                gain[start : start + steps.stop - steps.start] = found[k, steps]
+    jobs: list[tuple[int, int, int, np.ndarray]] = []
+    of_text: dict[int, list[tuple]] = {}
+    for i, gain in enumerate(gains):
+        for a, b in _possible(*gain, bounds[2]):
+            jobs.append((i, a, b, np.zeros((b - a, N_TAGS))))
+            of_text.setdefault(i, []).append(jobs[-1])
+    wanted = set()
+    for i, a, b, _ in jobs:
+        starts = _windows_of(len(codes[i]))
+        wanted.update((i, starts[k]) for k in range(_server(a, starts), _server(b - 1, starts) + 1))
+    for served, e in _scored(tagger, codes, list(wanted)):
+        for i, start, k, steps in served:
+            end = start + steps.stop - steps.start
+            ends = [job[2] for job in of_text[i]]
+            for _, a, b, grid in of_text[i][bisect.bisect_right(ends, start) :]:
+                if a >= end:
+                    break
+                lo, hi = max(a, start), min(b, end)
+                grid[lo - a : hi - a] = e[steps.start + lo - start : steps.start + hi - start, :, k]
     out: list[list[Span]] = [[] for _ in texts]
-    while jobs:
-        longest = jobs[min(len(jobs), 2000) - 1][2] - jobs[min(len(jobs), 2000) - 1][1]
-        n = max(1, min(len(jobs), 2000, BATCH_STEPS // max(1, longest)))
-        now, jobs = jobs[:n], jobs[n:]
-        emissions = _emissions(tagger, [classes(texts[i][a:b]) for i, a, b in now])
-        longest = max(len(e) for e in emissions)
-        grid = np.full((len(now), longest, N_TAGS), -1e4)
-        grid[:, :, 0] = 0
-        for row, e in enumerate(emissions):
-            grid[row, : len(e)] = e
-        tags, sure = tagger.decode(grid)
-        for row, (i, a, b) in enumerate(now):
-            for kind, start, end in _read_spans(tags[row, : b - a]):
-                own = (start >= LAP // 2 or a == 0) and (start < PIECE - LAP // 2 or b == len(texts[i]))
-                anchored = kind == 0 or _ANCHOR.search(texts[i], a + start, a + end)
-                if own and anchored and sure[row, start:end].mean() >= SURE:
-                    out[i].append((kind, a + start, a + end))
+    for i, a, tags, sure in _paths(tagger, jobs):
+        for kind, start, end in _read_spans(tags):
+            anchored = kind == 0 or _ANCHOR.search(texts[i], a + start, a + end)
+            if anchored and sure[start:end].mean() >= SURE:
+                out[i].append((kind, a + start, a + end))
     return [sorted(spans, key=lambda s: s[1]) for spans in out]
 
 
+def _paths(tagger: Tagger, jobs: list[tuple]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Text, start, best tags and their marginals of each stretch, with an outside character before and after it.
+
+    A stretch of over ``PIECE`` characters is decoded piece by piece.  A piece ends at the last outside character
+    of its path before its lap; one that has none grows until it has one.
+    """
+    todo = [(i, a, grid, PIECE) for i, a, _, grid in jobs]
+    while todo:
+        todo.sort(key=lambda j: min(len(j[2]), j[3]))
+        longest = min(len(todo[0][2]), todo[0][3])
+        n = 1
+        while n < len(todo) and (n + 1) * (longest := max(longest, min(len(todo[n][2]), todo[n][3]))) <= BATCH_STEPS:
+            n += 1
+        now, todo = todo[:n], todo[n:]
+        sizes = [min(len(grid), piece) for _, _, grid, piece in now]
+        block = np.full((n, max(sizes) + 2, N_TAGS), -1e4)
+        block[:, :, 0] = 0
+        for row, size, (_, _, grid, piece) in zip(block, sizes, now):
+            row[1 : size + 1] = grid[:size]
+            if size < len(grid):
+                row[size + 1 :] = 0  # what follows is open
+        tags, sure = tagger.decode(block)
+        for k, (size, (i, a, grid, piece)) in enumerate(zip(sizes, now)):
+            path, marginal = tags[k, 1 : size + 1], sure[k, 1 : size + 1]
+            if size < len(grid):
+                outside = np.flatnonzero(path[: size - size // 10] == 0)
+                if not len(outside):
+                    todo.append((i, a, grid, 2 * piece))
+                    continue
+                cut = int(outside[-1]) + 1
+                todo.append((i, a + cut, grid[cut:], PIECE))
+                path, marginal = path[:cut], marginal[:cut]
+            yield i, a, path, marginal
+
+
 def _read_spans(tags: np.ndarray) -> list[Span]:
     out, at, hits = [], 0, np.flatnonzero(tags)
     while at < len(hits):
@@ -226,8 +295,9 @@ def find(docs: DataFrame, tagger: Tagger | None, base: str = "base_spans", every
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.names.index("text")).to_pylist()]
             exact = [base_spans(t) for t in texts]
-            model = sent.value
-            tagged = tag(model, texts) if model else [[] for _ in texts]
+            model, once = sent.value, list(dict.fromkeys(texts))
+            known = dict(zip(once, tag(model, once) if model else [[] for _ in once]))
+            tagged = [known[t] for t in texts]
             both = [all_spans(x, y) for x, y in zip(exact, tagged)]
             lists = [pa.array([[v for s in spans for v in s] for spans in rows], pa.list_(pa.int64())) for rows in (exact, both)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, base, every])

@@ -189,14 +189,40 @@ def test_tagger_finds_rewritten_addresses_without_digits(spark):
     assert len(got[902].pii_spans) == 0
 
 
-@pytest.mark.parametrize("n", [0, 1, 200, 201, 2000, 2001, 3800, 3801, 20_000])
-def test_pieces_cover_the_whole_text(n):
-    pieces = pii._pieces(n)
-    assert {x for a, b in pieces for x in range(a, b)} == set(range(n))
-    own = [x for a, b in pieces for x in range(a, b) if (x - a >= pii.LAP // 2 or a == 0) and (x - a < pii.PIECE - pii.LAP // 2 or b == n)]
+@pytest.mark.parametrize("n", [0, 1, 5, 200, 511, 512, 513, 2000, 2001, 20_000])
+def test_windows_serve_each_character_once(n):
+    codes = [tagger.classes("x" * n)]
+    windows = [(0, a) for a in pii._windows_of(n)]
+    model = tagger.Tagger.fresh(2, 1)
+    own = sorted(x for served, _ in pii._scored(model, codes, windows) for _, start, _, steps in served for x in range(start, start + steps.stop - steps.start))
     assert own == list(range(n))
 
 
+def test_path_of_a_whole_text(monkeypatch):
+    """The path searched in the stretches that can hold a span is the Viterbi path of the whole text."""
+    rng = random.Random(8)
+    model = tagger.Tagger.fresh(4, 3)
+    model.weights["tr"] = np.random.default_rng(5).normal(0, 2, (tagger.N_TAGS, tagger.N_TAGS))
+    model.weights["bo"][0] = 1.5
+    monkeypatch.setattr(pii, "SURE", 0.0)
+    texts = ["".join(rng.choice("ab c@.9+(") for _ in range(n)) for n in (1, 40, 700, 1500)]
+    for text, spans in zip(texts, pii.tag(model, texts)):
+        code, grid = tagger.classes(text), np.zeros((1, len(text) + 2, tagger.N_TAGS))
+        grid[0, [0, -1]] = [0] + [-1e4] * (tagger.N_TAGS - 1)
+        for served, e in pii._scored(model, [code], [(0, a) for a in pii._windows_of(len(text))]):
+            for _, start, k, steps in served:
+                grid[0, 1 + start : 1 + start + steps.stop - steps.start] = e[steps, :, k]
+        whole = pii._read_spans(model.decode(grid)[0][0, 1:-1])
+        assert spans == [s for s in whole if s[0] == 0 or any(x in "9@" for x in text[s[1] : s[2]])]
+    assert pii.tag(model, [""]) == [[]]
+
+
+def test_float32_scores_are_those_of_the_fit():
+    model, codes = tagger.Tagger.fresh(5, 2), np.random.default_rng(1).integers(0, tagger.N_CLASSES, (7, 90))
+    slow = model._forward(codes)[2] @ model.weights["wo"] + model.weights["bo"]
+    assert np.abs(model.emissions(codes).transpose(2, 0, 1) - slow).max() < 1e-4
+
+
 # --- 4 and 5 ----------------------------------------------------------------------------
 
 
