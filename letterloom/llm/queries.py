@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterloom.llm import automaton, boosting, bpe, chat, chosen_path, licenses, outliers, pii, radix_dedup, suffix_trees
+from letterloom.llm import (
+    automaton, boosting, bpe, chat, chosen_path, divergence, dual_tree, licenses, outliers, pii, radix_dedup, sharding, suffix_trees,
+)
 from letterloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP2_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
@@ -122,5 +136,90 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id)"""
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_bpe, op2_chat, op3_pii, op4_substrings, op5_suffix_array, op6_quality_rules, op7_licenses, op8_jaccard_join, op9_decontaminate, op10_quality)}
-ORACLES: dict[str, str] = {"op2_chat": OP2_SQL, "op4_substrings": OP4_SQL, "op9_decontaminate": OP9_SQL}
+# The checksum by its table of 256 steps, which follows from the polynomial, over the bytes of each text.
+OP11_SQL = r"""
+WITH step AS (
+  SELECT list(list_reduce(range(8), lambda acc, k: CASE WHEN acc & 1 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END, n) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS source, strlen(coalesce(text, '')) + 16 AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes FROM documents),
+fact AS (
+  SELECT doc_id, source, size,
+    xor(list_reduce(bytes, lambda acc, b: xor(acc >> 8, t[(xor(acc, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS crc
+  FROM d, step),
+nth AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(concat_ws(':', '11', coalesce(CAST(doc_id AS VARCHAR), ''), size, crc)), doc_id) AS r,
+    count(*) OVER (PARTITION BY source) AS n FROM fact),
+place AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(2 * r - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), source, r) - 1 AS p, count(*) OVER () AS total FROM nth)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(p * 40 // total AS INTEGER) AS shard,
+  p - (p * 40 // total * total + 39) // 40 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM place"""
+
+_LETTERS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+
+def _chance(count: str, total: str) -> str:
+    return f"CAST(1 + 1000000000::HUGEINT * ({count} + 2) // ({total} + 2 * v) AS HUGEINT)"
+
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS} AS w FROM documents),
+word AS (SELECT row_id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_tf FROM word GROUP BY lang, term HAVING count(DISTINCT row_id) >= 10),
+tf AS (SELECT lang, source, term, count(*) AS c FROM word SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+one AS (SELECT lang, count(*) AS v, sum(lang_tf) AS lang_n FROM kept GROUP BY lang),
+grp AS (
+  SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v, coalesce(lang_n, 0) AS lang_n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(c) AS n FROM tf GROUP BY lang, source) USING (lang, source)
+  LEFT JOIN one USING (lang)),
+p AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, {_chance("coalesce(c, 0)", "n")} AS p, {_chance("lang_tf", "lang_n")} AS q
+  FROM grp JOIN kept USING (lang) LEFT JOIN tf USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+  ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+item AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM item)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+OP13_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS w FROM documents),
+docs AS (SELECT row_id, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+item AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest({_WORDS}) AS term FROM item) GROUP BY ALL),
+tf AS (
+  SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(w) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, whole GROUP BY term, n_docs),
+norm AS (SELECT row_id, doc_id, 25 + 75 * n * n_docs // n_terms AS m FROM docs, whole),
+score AS (
+  SELECT i, item_id, row_id, doc_id, CAST(sum(times * w * (1000000000 * tf // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN norm USING (row_id) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+QUERIES: dict[str, QueryFn] = {
+    f.__name__: f
+    for f in (
+        op1_bpe, op2_chat, op3_pii, op4_substrings, op5_suffix_array, op6_quality_rules, op7_licenses, op8_jaccard_join,
+        op9_decontaminate, op10_quality, op11_shards, op12_divergence, op13_search,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op2_chat": OP2_SQL, "op4_substrings": OP4_SQL, "op9_decontaminate": OP9_SQL, "op11_shards": OP11_SQL, "op12_divergence": OP12_SQL,
+    "op13_search": OP13_SQL,
+}
