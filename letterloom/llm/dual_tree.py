@@ -181,7 +181,7 @@ def search_block(docs: DataFrame, rows: list[tuple], n_docs: int, n_terms: int,
                 met.pop(None, None)
                 if met:
                     tf.extend((len(ids), t, n) for t, n in met.items())
-                    ids.append(doc)
+                    ids.append(c.NULL_ID if doc is None else doc)
                     sizes.append(len(found))
                 if len(ids) >= step:
                     flush()
