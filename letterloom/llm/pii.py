@@ -257,7 +257,11 @@ def _windows(text: str, rng: random.Random) -> list[tuple[str, list[int]]]:
 
 
 def fit(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Tagger | None:
-    """A tagger from at most ``sample_windows`` labelled windows, picked by a hash; None without any."""
+    """A tagger from at most ``sample_windows`` labelled windows; None without any.
+
+    Windows are dealt over that many slots by a hash, and each slot keeps the one with the least
+    hash, so a task sends one window per slot and the driver gets no more.
+    """
 
     def run(batches):
         for batch in batches:
@@ -270,7 +274,9 @@ def fit(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Tagger | None:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(tags, pa.list_(pa.int64()))], names=["piece", "tags"])
 
     pieces = c.documents(docs).select("text").mapInArrow(run, "piece string, tags array<bigint>")
-    picked = pieces.orderBy(F.xxhash64("piece"), "piece", "tags").limit(sample_windows).collect()
+    slot = F.pmod(F.xxhash64("piece"), F.lit(sample_windows)).alias("slot")
+    least = F.min(F.struct(F.xxhash64(F.lit(1), "piece").alias("h"), "piece", "tags")).alias("w")
+    picked = pieces.groupBy(slot).agg(least).select("w.*").orderBy("h", "piece", "tags").collect()
     if not picked:
         return None
     codes = np.zeros((len(picked), WINDOW), np.int64)

@@ -52,19 +52,22 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 @dataclass
 class Tagger:
-    """Weights by name: ``wx`` and ``wh`` of both directions, ``wo`` and ``bo`` to tags, ``tr`` between tags."""
+    """Weights by name: ``wx`` and ``wh`` of both directions, ``wo`` and ``bo`` to tags, ``tr`` between tags.
+
+    Input and forget gates are coupled: a cell takes in the share that it forgets.
+    """
 
     weights: dict[str, np.ndarray]
 
     @classmethod
     def fresh(cls, hidden: int, seed: int) -> Tagger:
         rng = np.random.default_rng(seed)
-        wx = rng.normal(0, 0.3, (2, N_CLASSES, 4 * hidden))
-        wx[:, :, hidden : 2 * hidden] += 1.0  # gates start open for the past
+        wx = rng.normal(0, 0.3, (2, N_CLASSES, 3 * hidden))
+        wx[:, :, :hidden] += 1.0  # gates start open for the past
         return cls(
             {
                 "wx": wx,
-                "wh": rng.normal(0, 0.3 / np.sqrt(hidden), (2, hidden, 4 * hidden)),
+                "wh": rng.normal(0, 0.3 / np.sqrt(hidden), (2, hidden, 3 * hidden)),
                 "wo": rng.normal(0, 0.3, (2 * hidden, N_TAGS)),
                 "bo": np.zeros(N_TAGS),
                 "tr": np.zeros((N_TAGS, N_TAGS)),
@@ -81,13 +84,13 @@ class Tagger:
         trace = []
         for t in range(steps):
             z = pre[:, :, t] + h @ w["wh"]
-            gates, new = _sigmoid(z[..., : 3 * n_hidden]), np.tanh(z[..., 3 * n_hidden :])
-            i, f, o = (gates[..., k * n_hidden : (k + 1) * n_hidden] for k in range(3))
+            gates, new = _sigmoid(z[..., : 2 * n_hidden]), np.tanh(z[..., 2 * n_hidden :])
+            f, o = gates[..., :n_hidden], gates[..., n_hidden:]
             before, h_before = cell, h
-            cell = f * before + i * new
+            cell = f * before + (1 - f) * new
             squashed = np.tanh(cell)
             h = o * squashed
-            trace.append((i, f, o, new, before, squashed, h_before, h))
+            trace.append((f, o, new, before, squashed, h_before, h))
         out = np.stack([x[-1] for x in trace], 2)  # direction, row, step, hidden
         states = np.concatenate([out[0], out[1][:, ::-1]], -1)
         return both, trace, states
@@ -100,12 +103,12 @@ class Tagger:
         """
         w, (rows, steps) = self.weights, codes.shape
         n = w["wh"].shape[1]
-        scale = np.repeat([-1.0, -2.0], [3 * n, n])
+        scale = np.repeat([-1.0, -2.0], [2 * n, n])
         wh, wx = (np.ascontiguousarray((w[k] * scale).transpose(0, 2, 1), np.float32) for k in ("wh", "wx"))
         code = np.ascontiguousarray(codes.T)
         states = np.zeros((steps, 2 * n, rows), np.float32)
-        z, pulled = np.zeros((4 * n, rows), np.float32), np.zeros((4 * n, rows), np.float32)
-        cell, fresh = np.zeros((n, rows), np.float32), np.zeros((n, rows), np.float32)
+        z, pulled = np.zeros((3 * n, rows), np.float32), np.zeros((3 * n, rows), np.float32)
+        cell, squashed = np.zeros((n, rows), np.float32), np.zeros((n, rows), np.float32)
         with np.errstate(over="ignore"):
             for d, order in enumerate((range(steps), range(steps - 1, -1, -1))):
                 h, cell[:] = np.zeros((n, rows), np.float32), 0
@@ -113,15 +116,16 @@ class Tagger:
                     np.take(wx[d], code[t], 1, out=z, mode="clip")
                     z += np.matmul(wh[d], h, out=pulled)
                     _logistic(z)
-                    i, f, o, new = (z[k * n : (k + 1) * n] for k in range(4))
+                    f, o, new = z[:n], z[n : 2 * n], z[2 * n :]
                     new *= 2
                     new -= 1
+                    cell -= new
                     cell *= f
-                    cell += np.multiply(i, new, out=fresh)
-                    _logistic(np.multiply(cell, -2, out=fresh))
-                    fresh *= 2
-                    fresh -= 1
-                    h = np.multiply(o, fresh, out=states[t, d * n : (d + 1) * n])
+                    cell += new
+                    _logistic(np.multiply(cell, -2, out=squashed))
+                    squashed *= 2
+                    squashed -= 1
+                    h = np.multiply(o, squashed, out=states[t, d * n : (d + 1) * n])
         return np.matmul(np.ascontiguousarray(w["wo"].T, np.float32), states) + w["bo"].astype(np.float32)[:, None]
 
     def gradients(self, codes: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -141,14 +145,14 @@ class Tagger:
         d_states = d_emission @ w["wo"].T
         n_hidden = w["wh"].shape[1]
         d_out = np.stack([d_states[..., :n_hidden], d_states[:, ::-1, n_hidden:]])
-        d_pre = np.zeros((2, rows, steps, 4 * n_hidden))
+        d_pre = np.zeros((2, rows, steps, 3 * n_hidden))
         d_wh, d_h, d_cell = np.zeros_like(w["wh"]), np.zeros((2, rows, n_hidden)), np.zeros((2, rows, n_hidden))
         for t in range(steps - 1, -1, -1):
-            i, f, o, new, before, squashed, h_before, _ = trace[t]
+            f, o, new, before, squashed, h_before, _ = trace[t]
             d_h = d_h + d_out[:, :, t]
             d_cell = d_cell + d_h * o * (1 - squashed**2)
             d_z = np.concatenate(
-                [d_cell * new * i * (1 - i), d_cell * before * f * (1 - f), d_h * squashed * o * (1 - o), d_cell * i * (1 - new**2)],
+                [d_cell * (before - new) * f * (1 - f), d_h * squashed * o * (1 - o), d_cell * (1 - f) * (1 - new**2)],
                 -1,
             )
             d_pre[:, :, t] = d_z
@@ -157,7 +161,7 @@ class Tagger:
             d_cell = d_cell * f
         d_wx = np.zeros_like(w["wx"])
         for d in (0, 1):
-            np.add.at(d_wx[d], both[d].ravel(), d_pre[d].reshape(-1, 4 * n_hidden))
+            np.add.at(d_wx[d], both[d].ravel(), d_pre[d].reshape(-1, 3 * n_hidden))
         flat = states.reshape(-1, 2 * n_hidden)
         grads = {
             "wx": d_wx, "wh": d_wh, "wo": flat.T @ d_emission.reshape(-1, N_TAGS),
