@@ -1,23 +1,22 @@
 """Jaccard join of word shingle sets by chosen paths.
 
-A set picks tokens by hash, each with a chance of 1 / (threshold * size), and goes to the
-bucket of every token it picked.  Two sets as similar as the threshold share such a token
-with a fair chance.  A bucket with more than ``SPLIT`` sets is split again by further tokens,
-up to ``LEVELS`` deep; the others are joined by brute force.  ``runs`` independent runs reach
-the target recall.
+A set picks tokens by hash, each with a chance that makes one common pick likely for two sets as
+similar as the threshold.  Every pick is a path, which picks again among the tokens that it has
+not used, ``LEVELS`` deep; the last picks of all paths are the set's buckets.  So every bucket, of
+whatever size, has been split as often as any other.  Buckets are joined by brute force, and
+``runs`` independent runs reach the target recall.
 
 Texts with equal shingle sets are one node, so copies meet no join at all.  Brute force takes
 exact set sizes; a pair is counted in the least of the buckets that its nodes share, and
-only there.  A bucket that is still large at the last level, say of near copies of one text,
-is cut into blocks, and each pair of blocks is a unit of work of bounded size.  No pair is
-ever a row: units give link counts and spanning edges.
+only there.  A bucket that is still large, say of near copies of one text, is cut into blocks,
+and each pair of blocks is a unit of work of bounded size.  No pair is ever a row: units
+give link counts and spanning edges.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +27,16 @@ from pyspark.sql import functions as F
 from letterloom.llm import common as c
 from letterloom.llm.components import components
 from letterloom.llm.repeats import gram_hashes, mix
+from letterloom.operators.skew import skew_join
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # similarity of 0.8 or more
-RECALL = 0.999  # of pairs right at the threshold whose bucket was split to the last level
-SPLIT, LEVELS = 1_000, 3  # the bitmap test of a thousand sets costs less than splitting them
-WHOLE = 2_000  # sets of a bucket that the bitmap test takes on at once
+RECALL = 0.999  # of pairs right at the threshold
+LEVELS = 3  # picks of a path
+WHOLE = 2_000  # larger buckets go to the block join without the bitmap test, which only saves work
 BLOCK = 400
 BITS = 512
-BROADCAST_KEYS = 100_000
+PART_ROWS, PART_BYTES = 50_000, 32_000_000  # sets, and bytes of tokens, that a task takes on at once
 
 _u64 = np.uint64
 
@@ -56,38 +56,34 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(gram_hashes(ids, min(SHINGLE, len(ids)))) if len(ids) else ids
 
 
-def paths(tokens: np.ndarray, runs: int, levels: int = LEVELS) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys of all chosen paths, and the place of each one's parent in the list (-1 at the top).
+def paths(tokens: np.ndarray, runs: int, levels: int = LEVELS) -> np.ndarray:
+    """Keys of the buckets that all chosen paths end in.
 
-    A token goes on a path if its hash with the path's key is small; one that the path has
-    used is not picked again.  The chance stays that of the whole set on every level.
+    A token goes on a path if its hash with the path's key is small.  On its k-th pick a path has
+    used k - 1 tokens, which two similar sets share; of the others they share ``threshold * size - k + 1``
+    or more, so a chance of one by that number gives one common pick on average at every level.
+    A set with fewer tokens than levels ends up in no bucket; it is similar to equal sets only.
     """
-    keys, parents = [np.zeros(0, _u64)], [np.zeros(0, np.int64)]
-    if len(tokens):
-        chance = DENOMINATOR / (NUMERATOR * len(tokens))
-        limit = _u64(2**64 - 1) if chance >= 1 else _u64(int(chance * 2**64))
-        seeds, used = mix(np.arange(1, runs + 1, dtype=_u64)), np.zeros((runs, 0), _u64)
-        above, total = np.full(runs, -1), 0
-        marks = mix(tokens)
-        for _ in range(levels):
-            if not len(seeds):
-                break
-            path, at = [], []
-            step = max(1, 2_000_000 // len(tokens))  # a very long text takes a few paths at once
-            for start in range(0, len(seeds), step):
-                hit = mix(tokens[None, :] ^ seeds[start : start + step, None]) <= limit
-                for k in range(used.shape[1]):
-                    hit &= tokens[None, :] != used[start : start + step, k, None]
-                row, column = np.nonzero(hit)
-                path.append(row + start)
-                at.append(column)
-            path, at = np.concatenate(path), np.concatenate(at)
-            seeds = mix(marks[at] ^ seeds[path])
-            keys.append(seeds)
-            parents.append(above[path])
-            used = np.column_stack([used[path], tokens[at]])
-            above, total = np.arange(total, total + len(path)), total + len(path)
-    return np.concatenate(keys), np.concatenate(parents)
+    seeds, used = mix(np.arange(1, runs + 1, dtype=_u64)), np.zeros((runs, 0), _u64)
+    marks = mix(tokens)
+    for level in range(levels):
+        shared = len(tokens) * NUMERATOR / DENOMINATOR - level
+        if len(tokens) <= level or not len(seeds):
+            return np.zeros(0, _u64)
+        limit = _u64(2**64 - 1) if shared <= 1 else _u64(int(2**64 / shared))
+        path, at = [], []
+        step = max(1, 2_000_000 // len(tokens))  # a very long text takes a few paths at once
+        for start in range(0, len(seeds), step):
+            hit = mix(tokens[None, :] ^ seeds[start : start + step, None]) <= limit
+            for k in range(level):
+                hit &= tokens[None, :] != used[start : start + step, k, None]
+            row, column = np.nonzero(hit)
+            path.append(row + start)
+            at.append(column)
+        path, at = np.concatenate(path), np.concatenate(at)
+        seeds = mix(marks[at] ^ seeds[path])
+        used = np.column_stack([used[path], tokens[at]])
+    return np.unique(seeds)
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
@@ -99,17 +95,16 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8))
 
 
-_ROWS = "doc_id long, tag long, set binary, size long, bits binary, keys array<long>, parents array<int>"
+_ROWS = "doc_id long, tag long, set binary, size long, bits binary, keys array<long>"
 
 
 def describe(docs: DataFrame, runs: int) -> DataFrame:
-    """``doc_id, tag, set, size, bits, keys, parents`` per row: digest, size, bitmap and paths of its shingle set."""
+    """``doc_id, tag, set, size, bits, keys`` per row: digest, size, bitmap and buckets of its shingle set."""
 
     def row(r: dict) -> tuple:
         tokens = shingles(r["text"])
-        keys, parents = paths(tokens, runs)
         digest = bytes.fromhex(c.sha(tokens.tobytes())[:32]) if len(tokens) else None
-        return r["doc_id"], r["tag"], digest, len(tokens), bitmap(tokens).tobytes(), keys.view(np.int64), parents
+        return r["doc_id"], r["tag"], digest, len(tokens), bitmap(tokens).tobytes(), paths(tokens, runs).view(np.int64)
 
     return c.map_rows(docs.select("doc_id", F.xxhash64("text").alias("tag"), "text"), row, _ROWS)
 
@@ -127,30 +122,23 @@ def _node_doc(node: Column) -> Column:
     return F.when(high != c.NULL_ID, high)
 
 
-def _buckets(rows: DataFrame) -> DataFrame:
-    """``key, set, n`` rows of buckets with two sets or more, split level by level; written out.
+def _hot(sizes: DataFrame) -> DataFrame:
+    """Keys, of ``key, n``, with more than a shuffle partition's fair share of all rows, and their number of shares."""
+    fan = c.shuffle_partitions(sizes.sparkSession)
+    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+    return sizes.where(F.col("n") * fan > total).select("key", F.ceil(F.col("n") * fan / max(1, total)).cast("int").alias("_slices"))
+
+
+def _by_key(rows: DataFrame, facts: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the facts of their bucket; the rows of a hot bucket are dealt over many tasks."""
+    return skew_join(rows, facts, ["key"], spread=["set"], how=how, hot=hot)
 
-    Copies of a set fall together before the shuffle.
-    """
-    flat = rows.where("set is not null").select("set", "keys", F.explode(F.arrays_zip("keys", "parents")).alias("e"))
-    flat = flat.select("set", F.col("e.keys").alias("key"), F.when(F.col("e.parents") >= 0, F.get("keys", F.col("e.parents"))).alias("parent"))
-    level = flat.where("parent is null").select("key", "set")
-    done: list[DataFrame] = []
-    for k in range(LEVELS):
-        level = level.distinct()
-        sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        full = c.stage(level.join(sizes, "key"), "bucket-level")
-        last = k == LEVELS - 1
-        done.append(full if last else full.where(F.col("n") <= SPLIT))
-        if last:
-            break
-        large = c.stage(full.where(F.col("n") > SPLIT).select(F.col("key").alias("parent")).distinct(), "bucket-large")
-        n = large.count()
-        if not n:
-            break
-        large = F.broadcast(large) if n <= BROADCAST_KEYS else large
-        level = flat.where("parent is not null").join(large, "parent", "left_semi").select("key", "set")
-    return reduce(DataFrame.unionByName, done)
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """``key, set, n`` rows of buckets with two sets or more."""
+    flat = nodes.select("set", F.explode("keys").alias("key"))
+    sizes = c.stage(flat.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket-sizes")
+    return _by_key(flat, sizes, _hot(sizes))
 
 
 def _possible(buckets: DataFrame, sketches: DataFrame, parts: int) -> DataFrame:
@@ -186,39 +174,52 @@ def _possible(buckets: DataFrame, sketches: DataFrame, parts: int) -> DataFrame:
     return kept.unionByName(buckets.where(F.col("n") > WHOLE).select("key", "set"))
 
 
+def _neighbours(lists: DataFrame, keys: str) -> DataFrame:
+    """``key, n, other`` once for each key in an ascending list of (key, n) and the key before it."""
+    at = F.when(F.size(keys) > 1, F.sequence(F.lit(1), F.size(keys) - 1))
+    pair = lambda i: F.struct(F.get(keys, i)["key"].alias("key"), F.get(keys, i)["n"].alias("n"), F.get(keys, i - 1)["key"].alias("other"))
+    return lists.select(F.explode(F.transform(at, pair)).alias("p")).select("p.*")
+
+
 def _distinct_buckets(rows: DataFrame) -> DataFrame:
-    """``key, set, n`` without buckets whose sets all meet in a bucket with a lesser key too.
+    """``key, set, n`` without buckets whose pairs all meet in a bucket with a lesser key too.
 
-    First go those with the very same sets, then those with a part of another's.
+    First go those with the very same sets, then those whose sets all have one and the same bucket
+    before this one in their list.  What stays is only more work, since a pair is counted once.
     """
     member = F.xxhash64("set")
     signature = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 20)).alias("s")
     )
+    signature = c.stage(signature, "bucket-signatures")
     kept = signature.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key", "n")
-    rows = c.stage(rows.join(kept, "key"), "bucket-kept")
+    kept = c.stage(kept, "bucket-kept-keys")
+    rows = c.stage(_by_key(rows, kept, _hot(signature.select("key", "n"))), "bucket-kept")
     lists = rows.groupBy("set").agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("in"))
-    pairs = lists.select(F.explode("in").alias("b"), "in").select("b.key", "b.n", F.explode("in").alias("a"))
-    meet = pairs.where(F.col("a.key") < F.col("key")).groupBy("key", "n", F.col("a.key").alias("other")).count()
-    inside = meet.where(F.col("count") == F.col("n")).select("key").distinct()
-    return rows.join(inside, "key", "left_anti")
+    meet = _neighbours(lists, "in").groupBy("key", "other").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("met"))
+    inside = meet.where(F.col("met") == F.col("n")).select("key")
+    out = c.stage(_by_key(rows, inside, _hot(kept), "left_anti"), "join-buckets")
+    c.drop_stage(rows, signature, kept)
+    return out
 
 
-def _units(rows: DataFrame) -> DataFrame:
+def _units(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """``key, low, high, block, set, shared`` rows: each (key, low, high) is a unit of two blocks at most.
 
     ``shared`` lists the keys of all buckets of the node.  In a large bucket most nodes also
     meet in another large bucket with a lesser key; pairs of two such nodes are counted there, so
     their blocks are not set against each other here.
     """
-    lists = rows.groupBy("set").agg(F.array_sort(F.collect_list("key")).alias("shared"))
-    large = rows.where(F.col("n") > BLOCK).select("set", "key")
-    meet = large.join(large.select("set", F.col("key").alias("other")), "set").where("other < key")
-    main = meet.groupBy("key", "other").count().groupBy("key").agg(F.max_by("other", F.struct("count", "other")).alias("main"))
-    rows = rows.join(lists, "set").join(main, "key", "left")
+    hot = _hot(sizes)
+    lists = rows.groupBy("set").agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("in"))
+    large = lists.select(F.filter("in", lambda x: x["n"] > BLOCK).alias("large"))
+    meet = _neighbours(large, "large").groupBy("key", "other").count()
+    main = meet.groupBy("key").agg(F.max_by("other", F.struct("count", "other")).alias("main"))
+    rows = rows.join(lists.select("set", F.transform("in", lambda x: x["key"]).alias("shared")), "set")
+    rows = _by_key(rows, main, hot, "left")
     rows = rows.withColumn("covered", F.coalesce(F.array_contains("shared", F.col("main")), F.lit(False)))
-    sizes = rows.groupBy("key").agg(F.count_if("covered").alias("n_covered"), F.count_if(~F.col("covered")).alias("n_open"))
-    rows = rows.join(sizes, "key")
+    parts = rows.groupBy("key").agg(F.count_if("covered").alias("n_covered"), F.count_if(~F.col("covered")).alias("n_open"))
+    rows = _by_key(rows, parts, hot)
     n_open = F.ceil(F.col("n_open") / BLOCK).cast("int")
     n_all = n_open + F.ceil(F.col("n_covered") / BLOCK).cast("int")
     place = F.xxhash64(F.lit(3), "set")
@@ -337,17 +338,27 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     own.  Repeated rows are copies; a null doc_id sorts last and shows as null.
     """
     docs = c.documents(docs)
-    spark = docs.sparkSession
-    parts = c.shuffle_partitions(spark)
-    rows = c.stage(describe(docs, runs_for(recall)), "join-rows")
-    first = F.struct(c.order_id().alias("doc"), "tag", "size", "bits")
-    nodes = rows.where("set is not null").groupBy("set").agg(F.count(F.lit(1)).alias("copies"), F.min(first).alias("f"))
-    nodes = nodes.select("set", "copies", "f.*", _node(F.col("f.doc"), F.col("set")).alias("node"))
-    nodes = c.stage(nodes, "join-nodes")
-    possible = c.stage(_possible(_buckets(rows), nodes.select("set", "size", "bits"), parts), "join-possible")
-    buckets = c.stage(_distinct_buckets(possible), "join-buckets")
+    described = c.stage(describe(docs, runs_for(recall)), "join-described")
+    first = F.struct(c.order_id().alias("doc"), "tag")
+    facts = [F.first(x).alias(x) for x in ("size", "bits", "keys")]  # these follow from the set
+    nodes = described.where("set is not null").groupBy("set").agg(F.count(F.lit(1)).alias("copies"), F.min(first).alias("f"), *facts)
+    nodes = nodes.select("set", "copies", "f.*", "size", "bits", "keys", _node(F.col("f.doc"), F.col("set")).alias("node"))
+    sketched = c.stage(nodes, "join-sketched")
+    nodes = c.stage(sketched.select("set", "copies", "doc", "tag", "size", "node"), "join-nodes")
+    rows = c.stage(described.select("doc_id", "tag", "set"), "join-rows")
+    c.drop_stage(described)
+    level = c.stage(_buckets(sketched), "join-level")
+    parts = -(-level.count() // PART_ROWS) or 1
+    possible = c.stage(_possible(level, sketched.select("set", "size", "bits"), parts), "join-possible")
+    c.drop_stage(level, sketched)
+    buckets = _distinct_buckets(possible)
     wanted = nodes.join(buckets.select("set").distinct(), "set", "left_semi")
-    links = c.stage(_links(_units(buckets), _sets(docs, wanted), parts), "join-links")
+    sizes = c.stage(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "join-sizes")
+    units = c.stage(_units(buckets, sizes), "join-units")
+    mean = nodes.agg(F.avg("size").alias("n")).first()["n"] or 0
+    parts = int(units.count() * mean * 6 // PART_BYTES) + 1
+    links = c.stage(_links(units, _sets(docs, wanted), parts), "join-links")
+    c.drop_stage(possible, buckets, sizes, units)
     linked = components(links.select(F.col("node").alias("child"), "parent"))
     totals = links.groupBy("node").agg(F.sum("links").alias("links"))
     heads = linked.select(F.col("child").alias("node"), F.col("parent").alias("head"))

@@ -367,9 +367,9 @@ def near_rows(seed):
     return rows + rows[-4:]
 
 
-def test_jaccard_join(spark, empty, monkeypatch):
-    monkeypatch.setattr(chosen_path, "SPLIT", 20)
-    monkeypatch.setattr(chosen_path, "BLOCK", 30)
+@pytest.mark.parametrize("block", [30, chosen_path.BLOCK])
+def test_jaccard_join(spark, empty, monkeypatch, block):
+    monkeypatch.setattr(chosen_path, "BLOCK", block)
     rows = near_rows(1)
     got = Counter((r.doc_id, r.class_id, r.n_links) for r in chosen_path.join(table(spark, rows)).collect())
     want = Counter((d, head, links) for (d, _), (links, head) in zip(rows, h.near_copies(rows)))
@@ -378,6 +378,21 @@ def test_jaccard_join(spark, empty, monkeypatch):
     assert chosen_path.join(empty).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 5, 9, 40, 700])
+def test_recall_right_at_the_threshold(size):
+    """Pairs of sets as similar as the threshold, and no more, end up in a common bucket."""
+    rng, runs = np.random.default_rng(size), chosen_path.runs_for()
+    met = 0
+    for _ in range(300):
+        both = rng.integers(0, 2**63, size, dtype=np.uint64)
+        shared = -(-4 * size // 5) if size < 9 else -(-8 * size // 9)  # of one of two sets of like size
+        more = rng.integers(0, 2**63, 0 if size < 9 else size - shared, dtype=np.uint64)
+        other = np.concatenate([both[:shared], more])
+        a, b = np.sort(both), np.sort(other)
+        met += len(np.intersect1d(chosen_path.paths(a, runs), chosen_path.paths(b, runs))) > 0
+    assert met >= 297
+
+
 def test_one_row_of_each_class_stays(spark):
     rows = [(k, t) for k, (_, t) in enumerate(near_rows(2))]
     rows += rows[-4:]
