@@ -24,7 +24,7 @@ HISTORY_BYTES = 1 << 26  # memory for the levels of one document
 
 
 def _round5(value: Column) -> Column:
-    """Five places by scaling, the way the numpy helper rounds."""
+    """Five places by scaling; ``closeness`` rounds the same way."""
     return F.floor(value * 100_000 + 0.5) / 100_000
 
 
@@ -184,7 +184,7 @@ def closeness(docs: DataFrame, window: int = 3, weighted: bool = False) -> DataF
                     continue
                 words, sums = _distance_sums(np.asarray(tokens, dtype=str), window, weighted)
                 n = len(words)
-                parts.append((mid, words, np.round((n - 1) / sums, 5) if n > 1 else np.zeros(1)))
+                parts.append((mid, words, np.floor((n - 1) / sums * 100_000 + 0.5) / 100_000 if n > 1 else np.zeros(1)))
                 rows += n
                 if rows >= ROWS_PER_FRAME:
                     yield table(parts)

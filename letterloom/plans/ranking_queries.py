@@ -77,14 +77,15 @@ def ranking_tables(spark, sf, weights="tfidf"):
     bodies = log.select("mid", F.col("words").alias("tokens"))
     topics = stage(flatten_topics(tp.score_topics(tp.fit_topics(bodies), bodies), 4), "ranking-topics")
 
-    def features(pairs):
+    def features(pairs, every_contact):
         pairs = stage(pairs, "ranking-pairs")
         greet = gr.greeting_value(
             pairs.select("mid", F.col("contact").alias("recipient")).distinct(), words, book, known
         ).withColumnRenamed("recipient", "contact")
         out = pairs.join(greet, ["mid", "contact"])
         for name, direction in (("outgoing_txt", sim.OUT), ("incoming_txt", sim.IN)):
-            score = sim.text_similarity(pairs.select("mid", "user", "contact").distinct(), vectors, means[direction])
+            asked_pairs = pairs.select("mid", "user", "contact").distinct()
+            score = sim.text_similarity(asked_pairs, vectors, means[direction], every_contact)
             out = out.join(score.withColumnRenamed("sim", name), ["mid", "user", "contact"])
         return stage(ln.assemble_features(out, time_features, topics), "ranking-features")
 
@@ -93,7 +94,7 @@ def ranking_tables(spark, sf, weights="tfidf"):
     )
     asked = ct.candidates(dev.select("sender", "mid"), contacts).withColumnRenamed("sender", "user")
     truth = dev.select("mid", F.explode("recipients").alias("recipient"))
-    return features(labelled), features(asked), truth, dev.select("mid", "sender")
+    return features(labelled, False), features(asked, True), truth, dev.select("mid", "sender")
 
 
 @query("learned_rank")

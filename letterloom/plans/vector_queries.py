@@ -75,13 +75,25 @@ def _(spark, sf):
     return wg.centrality(unique_tokens(spark, sf), "closeness", distinct=True)
 
 
+@query("gow_closeness_general")
+def _(spark, sf):
+    """Shortest paths by edges over the words as they stand, with repeats."""
+    return wg.centrality(_tokens(spark, sf), "closeness")
+
+
+@query("gow_w_closeness")
+def _(spark, sf):
+    """Shortest paths over real edge weights."""
+    return wg.centrality(_tokens(spark, sf), "w_closeness")
+
+
 # Over distinct tokens each edge has weight 1, so both general forms must give the closed form.
-@query("gow_closeness_general", "SELECT mid, term, round(value, 6) AS value FROM w_close")
+@query("gow_closeness_general_distinct", "SELECT mid, term, round(value, 6) AS value FROM w_close")
 def _(spark, sf):
     return wg.centrality(unique_tokens(spark, sf), "closeness").withColumn("value", F.round("value", 6))
 
 
-@query("gow_w_closeness", "SELECT mid, term, round(value, 6) AS value FROM w_close")
+@query("gow_w_closeness_distinct", "SELECT mid, term, round(value, 6) AS value FROM w_close")
 def _(spark, sf):
     return wg.centrality(unique_tokens(spark, sf), "w_closeness").withColumn("value", F.round("value", 6))
 
@@ -248,10 +260,10 @@ def _(spark, sf):
           FROM word_vec t LEFT JOIN (
             SELECT term, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vector FROM (
               SELECT term, ({_hash('42vec', 'term')} + 1) % n AS id FROM doc_df, e_n WHERE df >= 10) JOIN embeddings ON vec_id = id) p
-            ON p.term = t.term WHERE t.term IN (SELECT term FROM doc_df WHERE df >= 5))""",
+            ON p.term = t.term)""",
 )
 def _(spark, sf):
-    freq = stage(vc.doc_freq(_tokens(spark, sf), 4), "df")
+    freq = stage(vc.doc_freq(_tokens(spark, sf), 0), "df")
     trained = word_vectors(spark, sf, freq)
     given = word_vectors(spark, sf, freq.where("df >= 10"), shift=1)
     return _long(vec.replace_known(trained, given), "term")
