@@ -62,6 +62,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
         folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def drop_stage(staged: DataFrame) -> None:
+    """Deletes one stage table, once nothing that is still to run reads it."""
+    for file in staged.inputFiles()[:1]:
+        drop_path(staged.sparkSession, file.rsplit("/", 1)[0])
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Deletes all stage tables of this application; call it when the results were read."""
     drop_path(spark, stage_root(spark))

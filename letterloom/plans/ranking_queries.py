@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from letterloom.functions import text as tx
 from letterloom.operators import contacts as ct
 from letterloom.operators import evaluate as ev
+from letterloom.operators import forests as fo
 from letterloom.operators import greetings as gr
 from letterloom.operators import learning as ln
 from letterloom.operators import sampling as sm
@@ -118,6 +119,22 @@ def _(spark, sf):
 
 
 @query("per_user_rank")
+def _(spark, sf):
+    """A forest of each user's own pairs ranks the user's candidates."""
+    train, asked, _, _ = ranking_tables(spark, sf)
+    names = ln.feature_columns(train)
+    forest, ranges, _ = fo.grow(train, names)
+    return ln.rank_scores(fo.score(forest, ranges, asked, names))
+
+
+@query("oob_score")
+def _(spark, sf):
+    """Out-of-bag accuracy of each user's forest."""
+    train = ranking_tables(spark, sf)[0]
+    return fo.out_of_bag(fo.grow(train, ln.feature_columns(train))[2])
+
+
+@query("per_user_logistic_rank")
 def _(spark, sf):
     train, asked, _, _ = ranking_tables(spark, sf)
     models = ln.fit_per_user(train, hot=hot_keys(train, ["user"]))
