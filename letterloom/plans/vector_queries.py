@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from letterloom.functions import text as tx
+from letterloom.operators import paragraphs as pg
 from letterloom.operators import topics as tp
 from letterloom.operators import vectors as vec
 from letterloom.operators import vocab as vc
@@ -316,6 +317,24 @@ def _(spark, sf):
     return tp.describe_topics(_topic_model(spark, sf))
 
 
+def _paragraph_model(spark, sf):
+    docs = stage(_tokens(spark, sf).select("mid", "tokens"), "paragraph-bodies")
+    return pg.fit_paragraphs(docs, dim=128, rounds=6, passes=5)
+
+
 @query("doc_embeddings")
+def _(spark, sf):
+    """Paragraph vectors of all documents."""
+    return _paragraph_model(spark, sf).docs
+
+
+@query("doc_embeddings_unseen")
+def _(spark, sf):
+    """Paragraph vectors of the benchmark passages, with the words of the documents' model as they are."""
+    unseen = v.table(spark, sf, "benchmark").select(F.col("item_id").alias("mid"), tx.bag_of_words(F.col("text")).alias("tokens"))
+    return pg.infer_paragraphs(_paragraph_model(spark, sf), unseen)
+
+
+@query("doc_embeddings_mean")
 def _(spark, sf):
     return tp.doc_embeddings(_tokens(spark, sf), dim=128, max_iter=30)
