@@ -9,6 +9,7 @@ from letterloom.operators import contacts as ct
 from letterloom.operators import reshape as rs
 from letterloom.operators.skew import stage, stage_path
 from letterloom.operators.split import chrono_split
+from letterloom.operators.store import StageStore
 from letterloom.plans import views as v
 from letterloom.plans.registry import query, sql_view
 from letterloom.sources import logs
@@ -420,6 +421,17 @@ def _(spark, sf):
     return stage(ct.address_counts(v.trade_flat(spark, sf)), "address-counts")
 
 
+@query("stage_reuse", "SELECT sender, recipient, count(*) AS n, 1 AS written FROM trade_flat GROUP BY ALL")
+def _(spark, sf):
+    """The second store finds what the first has written, and writes nothing."""
+    root = stage_path(spark, "store")
+    counts = ct.address_counts(v.trade_flat(spark, sf))
+    first, second = StageStore(spark, root), StageStore(spark, root)
+    first.get(counts, "address-counts", version=1)
+    found = second.get(ct.address_counts(v.trade_flat(spark, sf)), "address-counts", version=1)
+    return found.withColumn("written", F.lit(first.written + second.written))
+
+
 sql_view(
     "event_ids",
     """SELECT user, row_number() OVER (ORDER BY user) - 1 AS id FROM (

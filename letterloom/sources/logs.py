@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from letterloom.functions import addresses as ad
 from letterloom.operators.reshape import explode_list
+from letterloom.sources.multiline import read_multiline_csv
 
 INDEX_SCHEMA = T.StructType([T.StructField("sender", T.StringType()), T.StructField("mids", T.StringType())])
 TEST_INFO_SCHEMA = T.StructType(
@@ -19,17 +20,11 @@ INFO_SCHEMA = T.StructType([*TEST_INFO_SCHEMA.fields, T.StructField("recipients"
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Quoted CSV with a header and doubled quotes.
 
-    With ``multi_line`` fields may span lines, and then a file is read by one task: give large
-    logs as many files.
+    With ``multi_line`` fields may span lines; a large file is still read by many tasks.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    if multi_line:
+        return read_multiline_csv(spark, path, schema)
+    return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
