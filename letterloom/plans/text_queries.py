@@ -9,6 +9,8 @@ from letterloom.functions import text as tx
 from letterloom.functions import weights as wt
 from letterloom.operators import contacts as ct
 from letterloom.operators import greetings as gr
+from letterloom.operators import lemmas as lm
+from letterloom.operators import sentence_ends as se
 from letterloom.operators import similarity as sim
 from letterloom.operators import vocab as vc
 from letterloom.operators.reshape import explode_computed, explode_list
@@ -51,6 +53,99 @@ def _(spark, sf):
     return explode_computed(v.doc_mail(spark, sf), ["mid"], sents, "sentence", pos="pos")
 
 
+_TYPE = r"""CASE WHEN regexp_matches(regexp_replace({0}, '\.$', ''), '^\p{{L}}+(\.\p{{L}}+)*$') THEN lower(regexp_replace({0}, '\.$', '')) END"""
+sql_view(
+    "sent_type",
+    f"""SELECT type, count(*) AS n, CAST(sum(p) AS BIGINT) AS n_period FROM (
+          SELECT {_TYPE.format('tok')} AS type, CASE WHEN tok LIKE '%.' THEN 1 ELSE 0 END AS p
+          FROM (SELECT unnest(string_split_regex(txt, '[ \t\r\n\f]+')) AS tok FROM doc_clean))
+        WHERE type IS NOT NULL GROUP BY type""",
+)
+sql_view(
+    "sent_abbr",
+    """SELECT type, round(2 * (n_period * ln(0.99) + (n - n_period) * ln(0.01) - n_period * ln(p) - (n - n_period) * ln(1 - p))
+           * exp(-letters) * periods * pow(CAST(letters AS DOUBLE), -CAST(n - n_period AS DOUBLE)), 6) AS score
+       FROM (SELECT *, length(type) - periods + 1 AS letters FROM (
+               SELECT *, length(type) - length(replace(type, '.', '')) + 1 AS periods FROM sent_type WHERE n_period > 0)),
+            (SELECT CAST(sum(n_period) AS DOUBLE) / sum(n) AS p FROM sent_type)
+       WHERE score >= 0.3""",
+)
+sql_view(
+    "sent_break",
+    f"""SELECT mid, si, txt, last, following, {_TYPE.format('last')} AS first, {_TYPE.format('following')} AS second,
+          regexp_matches(last, '^\p{{L}}+(\.\p{{L}}+)*\.$') AS period FROM (
+          SELECT mid, si, txt, regexp_extract(txt, '([^ \t\r\n\f]+)[ \t\r\n\f]*$', 1) AS last,
+            lead(regexp_extract(txt, '([^ \t\r\n\f]+)', 1)) OVER (PARTITION BY mid ORDER BY si) AS following FROM doc_sentence)""",
+)
+
+
+def _fit(hits: str, misses: str, q: str) -> str:
+    return f"CASE WHEN {q} > 0 AND {q} < 1 THEN ({hits}) * ln({q}) + ({misses}) * ln(1 - {q}) ELSE 0 END"
+
+
+_RATIO = f"""round(2 * ({_fit('ab', 'a - ab', 'p1')} + {_fit('b - ab', 'n - a - b + ab', 'p2')}
+    - {_fit('ab', 'a - ab', 'p')} - {_fit('b - ab', 'n - a - b + ab', 'p')}), 6)"""
+
+
+def _ratio_sql(keys: str, source: str, least: float) -> str:
+    return f"""SELECT {keys}, {_RATIO} AS score FROM (
+        SELECT *, CAST(b AS DOUBLE) / n AS p, CAST(ab AS DOUBLE) / a AS p1, CASE WHEN n > a THEN CAST(b - ab AS DOUBLE) / (n - a) ELSE 0 END AS p2
+        FROM ({source}), (SELECT CAST(sum(n) AS BIGINT) AS n FROM sent_type)) WHERE CAST(n AS DOUBLE) * ab > CAST(a AS DOUBLE) * b AND score >= {least}"""
+
+
+sql_view(
+    "sent_start",
+    _ratio_sql(
+        "second AS type",
+        """SELECT second, ab, b, a FROM (
+             SELECT second, count(*) AS ab FROM sent_break WHERE following IS NOT NULL AND second IS NOT NULL
+               AND (first IS NULL OR first NOT IN (SELECT type FROM sent_abbr)) GROUP BY second)
+           JOIN (SELECT type AS second, n AS b FROM sent_type) USING (second),
+           (SELECT count(*) AS a FROM sent_break WHERE following IS NOT NULL AND (first IS NULL OR first NOT IN (SELECT type FROM sent_abbr)))""",
+        30.0,
+    ),
+)
+sql_view(
+    "sent_pair",
+    _ratio_sql(
+        "first, second",
+        """SELECT first, second, ab, b, a FROM (
+             SELECT first, second, count(*) AS ab FROM sent_break WHERE following IS NOT NULL AND second IS NOT NULL AND period
+               AND first IN (SELECT type FROM sent_abbr) GROUP BY ALL HAVING count(*) > 1)
+           JOIN (SELECT type AS second, n AS b FROM sent_type) USING (second) JOIN (SELECT type AS first, n AS a FROM sent_type) USING (first)""",
+        7.88,
+    ),
+)
+
+
+@query(
+    "sentence_types",
+    """SELECT 'abbreviation' AS kind, type AS first, '' AS second, score FROM sent_abbr
+       UNION ALL SELECT 'starter', type, '', score FROM sent_start UNION ALL SELECT 'collocation', first, second, score FROM sent_pair""",
+)
+def _(spark, sf):
+    model = se.learn(v.doc_mail(spark, sf))
+    none = F.lit("").alias("second")
+    short = model.abbreviations.select(F.lit("abbreviation").alias("kind"), F.col("type").alias("first"), none, "score")
+    starts = model.starters.select(F.lit("starter").alias("kind"), F.col("type").alias("first"), none, "score")
+    return short.unionByName(starts).unionByName(model.collocations.select(F.lit("collocation").alias("kind"), "first", "second", "score"))
+
+
+@query(
+    "sentences_learned",
+    """SELECT mid, CAST(number AS INTEGER) AS pos, string_agg(txt, ' ' ORDER BY si) AS sentence FROM (
+         SELECT *, coalesce(sum(CASE WHEN inside THEN 0 ELSE 1 END) OVER (
+             PARTITION BY mid ORDER BY si ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS number FROM (
+           SELECT b.*, following IS NOT NULL AND period AND b.first IN (SELECT type FROM sent_abbr)
+             AND (c.score IS NOT NULL OR s.score IS NULL OR NOT regexp_matches(following, '^\\p{Lu}')) AS inside
+           FROM sent_break b LEFT JOIN sent_start s ON s.type = b.second LEFT JOIN sent_pair c ON c.first = b.first AND c.second = b.second))
+       GROUP BY mid, number""",
+)
+def _(spark, sf):
+    docs = v.doc_mail(spark, sf)
+    return se.learned_sentences(docs, se.learn(docs))
+
+
 @query(
     "strip_punct_digits",
     """SELECT regexp_replace(regexp_replace(orth, '[[:punct:]]', '', 'g'), '[0-9]', '', 'g') AS word, count(*) AS n
@@ -307,6 +402,46 @@ def _(spark, sf):
     return vc.lemmatize(counts, lemmas)
 
 
+# Words of one fold are held out of the lemma table; what becomes of them follows from the rules of the others.
+sql_view(
+    "lemma_pair",
+    """SELECT term, lemma, substring(md5(term), 1, 1) IN ('0', '1', '2') AS held FROM (
+         SELECT DISTINCT term, CASE WHEN term LIKE '%ies' AND length(term) > 4 THEN term[:-4] || 'y'
+           WHEN term LIKE '%s' AND length(term) > 3 THEN term[:-2]
+           WHEN term LIKE '%ing' AND length(term) > 5 THEN term[:-4] ELSE term END AS lemma FROM doc_term)""",
+)
+sql_view(
+    "lemma_rule",
+    f"""SELECT suffix, best.r AS replacement, best.n AS n FROM (
+          SELECT suffix, max({{'n': n, 'r': replacement}}) AS best, sum(n) AS total FROM (
+            SELECT right(term, k) AS suffix, right(lemma, length(lemma) - length(term) + k) AS replacement, count(*) AS n FROM (
+              SELECT term, lemma, unnest(range(length(term) - p, least(length(term), {lm.LONGEST}) + 1)) AS k FROM (
+                SELECT term, lemma, list_max(list_filter(range(0, least(length(term), length(lemma)) + 1),
+                  lambda i: left(term, i) = left(lemma, i))) AS p FROM lemma_pair WHERE NOT held))
+            GROUP BY ALL) GROUP BY suffix) WHERE best.n >= {lm.MIN_SUPPORT} AND best.n >= {lm.MIN_SHARE} * total""",
+)
+
+
+@query(
+    "lemma_rules",
+    """SELECT p.term, coalesce(CASE WHEN NOT held THEN p.lemma END, r.lemma, p.term) AS lemma FROM lemma_pair p LEFT JOIN (
+         SELECT term, max({'k': length(suffix), 'l': left(term, length(term) - length(suffix)) || replacement}).l AS lemma
+         FROM (SELECT term, right(term, unnest(range(0, least(length(term), 6) + 1))) AS suffix FROM lemma_pair WHERE held)
+         JOIN lemma_rule USING (suffix) GROUP BY term) r ON r.term = p.term""",
+)
+def _(spark, sf):
+    words = stage(word_counts(spark, sf).select("term").distinct(), "words")
+    n, term = F.length("term"), F.col("term")
+    lemma = (
+        F.when(F.endswith(term, F.lit("ies")) & (n > 4), F.concat(F.left(term, n - 3), F.lit("y")))
+        .when(F.endswith(term, F.lit("s")) & (n > 3), F.left(term, n - 1))
+        .when(F.endswith(term, F.lit("ing")) & (n > 5), F.left(term, n - 3))
+        .otherwise(term)
+    )
+    given = words.where(~F.substring(F.md5(term), 1, 1).isin("0", "1", "2")).select(term.alias("token"), lemma.alias("lemma"))
+    return lm.lemmas_of(words, given, lm.induce(given))
+
+
 # --- similarity --------------------------------------------------------------------
 
 for _dir, _u, _c in (("out", "sender", "recipient"), ("in", "recipient", "sender")):

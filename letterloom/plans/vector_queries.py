@@ -317,6 +317,27 @@ def _(spark, sf):
     return tp.describe_topics(_topic_model(spark, sf))
 
 
+def _topic_tables(spark, sf):
+    """The model's terms, and the topics' mean shares in the documents."""
+    model = _topic_model(spark, sf)
+    shares = tp.score_topics(model, _tokens(spark, sf)).groupBy("topic").agg(F.avg("score").alias("share"))
+    words = spark.createDataFrame(list(enumerate(model.vocabulary)), "idx int, term string")  # at most keep_n
+    return stage(tp.topic_terms(model), "topic-terms"), stage(shares, "topic-shares"), words
+
+
+@query("topic_relevance")
+def _(spark, sf):
+    terms, shares, words = _topic_tables(spark, sf)
+    return tp.term_relevance(terms, shares).join(words, "idx").select("topic", "rank", "term", "relevance")
+
+
+@query("topic_map")
+def _(spark, sf):
+    """Place and share of each topic, so that like topics lie near each other."""
+    terms, shares, _ = _topic_tables(spark, sf)
+    return tp.topic_layout(tp.topic_distances(terms)).join(shares, "topic")
+
+
 def _paragraph_model(spark, sf):
     docs = stage(_tokens(spark, sf).select("mid", "tokens"), "paragraph-bodies")
     return pg.fit_paragraphs(docs, dim=128, rounds=6, passes=5)
