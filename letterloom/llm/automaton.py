@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from letterloom.llm import common as c
 
 WINDOW = 13
+MAX_WORDS, MAX_SHARE = 20, 0.05  # words of a span, and share of a text's words, beyond which spans are removed
 BLOCK_CHARS = 2_000_000
 
 _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
@@ -260,34 +261,40 @@ def cut_spans(text: str, spans: list[int]) -> str:
     return "".join([*out, text[last:]])
 
 
-def remove_spans(found: DataFrame, max_words: int, max_share: float) -> DataFrame:
-    """``hits`` rows whose text lost its hit spans, where they exceed a length or a coverage limit.
+def remove_spans(found: DataFrame, max_words: int = MAX_WORDS, max_share: float = MAX_SHARE) -> DataFrame:
+    """``hits`` rows whose text lost hit spans, with ``n_cut``, the number of words that went.
 
-    All spans of a text go if one has more than ``max_words`` words or they cover more than
-    ``max_share`` of its words; other texts stay as they are.
+    A span of more than ``max_words`` words goes, and every span of a text goes whose hits cover more than
+    ``max_share`` of its words.  Other texts stay as they are.
     """
-    schema = found.schema
+    schema = found.withColumn("n_cut", F.lit(0).cast("bigint")).schema
 
     def run(batches):
         for batch in batches:
             names = batch.schema.names
             texts, spans, sizes, n_hit = (batch.column(names.index(n)) for n in ("text", "hit_spans", "n_words", "n_hit"))
-            out = []
+            out, counts = [], []
             for i in range(batch.num_rows):
-                text, cut = texts[i].as_py(), spans[i].as_py()
-                longest = max((b - a for a, b in zip(cut[::2], cut[1::2])), default=0)
-                over = longest > max_words or n_hit[i].as_py() > max_share * sizes[i].as_py()
-                out.append(cut_spans(text, cut) if cut and over else text)
-            new = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays([new if n == "text" else batch.column(k) for k, n in enumerate(names)], names=names)
+                text, flat = texts[i].as_py(), spans[i].as_py()
+                every = n_hit[i].as_py() > max_share * sizes[i].as_py() + 1e-9
+                cut = [x for a, b in zip(flat[::2], flat[1::2]) if every or b - a > max_words for x in (a, b)]
+                out.append(cut_spans(text, cut) if cut else text)
+                counts.append(sum(cut[1::2]) - sum(cut[::2]))
+            columns = [pa.array(out, pa.string()) if n == "text" else batch.column(k) for k, n in enumerate(names) if n != "n_cut"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=schema.names)
 
-    return found.mapInArrow(run, schema)
+    return found.drop("n_cut").mapInArrow(run, schema)
 
 
 def decontamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: words, hit words, items found and the verdict at 13 words and 5 %."""
+    """One row per document: words, hit words, items found, the verdict at 13 words and 5 %, and what is cut.
+
+    ``n_cut`` counts the words of spans beyond the limits of ``remove_spans``; ``cut_sha256`` is the digest of
+    the text without them.
+    """
     ids = F.array_sort(F.array_distinct("hit_items"))
-    return hits(c.documents(docs), items).select(
+    return remove_spans(hits(c.documents(docs), items)).select(
         "doc_id", "n_words", "n_hit", F.size(ids).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), "contaminated",
+        "n_cut", F.sha2(F.encode("text", "UTF-8"), 256).alias("cut_sha256"),
     )

@@ -115,6 +115,7 @@ _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
     " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
+_GAP, _IN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 OP9_SQL = f"""
 WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 win AS (
@@ -131,10 +132,25 @@ hit AS (SELECT doc_id, i, n, item_id FROM seen JOIN win USING (n, s)),
 cover AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, i + unnest(range(n)) AS i FROM hit) GROUP BY doc_id),
 item AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id),
+piece AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_GAP}*{_IN}+') AS p
+  FROM (SELECT doc_id, text, {_WORDS} AS w FROM documents)),
+run AS (
+  SELECT doc_id, min(i) AS a, count(*) AS n FROM (
+    SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g
+    FROM (SELECT DISTINCT doc_id, i + unnest(range(n)) AS i FROM hit)) GROUP BY doc_id, g),
+gone AS (
+  SELECT doc_id, list(a) AS starts, flatten(list(range(a, a + r.n))) AS places, CAST(sum(r.n) AS BIGINT) AS n_cut
+  FROM run r JOIN cover USING (doc_id) JOIN piece USING (doc_id) WHERE r.n > 20 OR 20 * n_hit > n_words GROUP BY doc_id),
+clean AS (
+  SELECT doc_id, n_cut, CASE WHEN n_cut IS NULL THEN text ELSE array_to_string(list_transform(p, lambda x, i:
+    CASE WHEN list_contains(starts, i) THEN regexp_extract(x, '^{_GAP}*') WHEN list_contains(places, i) THEN '' ELSE x END), '')
+    || regexp_extract(text, '{_GAP}*$') END AS cut FROM piece LEFT JOIN gone USING (doc_id))
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id)"""
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(n_cut, 0) AS n_cut, sha256(cut) AS cut_sha256
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id) JOIN clean USING (doc_id)"""
 
 # The checksum by its table of 256 steps, which follows from the polynomial, over the bytes of each text.
 OP11_SQL = r"""

@@ -450,6 +450,18 @@ def test_contaminated_words(spark, empty):
             n_words, spans, found = rows_of[d]
             assert n_words == len(own) and found == ids
             assert {x for a, b in zip(spans[::2], spans[1::2]) for x in range(a, b)} == hit
+    found = automaton.remove_spans(automaton.hits(table(spark, rows), spark.createDataFrame(bench, "item_id long, text string")), 14, 0.5)
+    assert any(r.n_cut for r in found.collect()) and any(r.n_hit and not r.n_cut for r in found.collect())
+    for r in found.collect():
+        text = dict(rows)[r.doc_id] or ""
+        spans = list(zip(r.hit_spans[::2], r.hit_spans[1::2]))
+        gone = [s for s in spans if r.n_hit > 0.5 * r.n_words or s[1] - s[0] > 14]
+        at = [m.span() for m in automaton._WORD.finditer(text)]
+        marks = [False] * len(text)
+        for a, b in gone:
+            for k in range(at[a][0], at[b - 1][1]):
+                marks[k] = True
+        assert (r.text or "") == "".join(x for x, m in zip(text, marks) if not m) and r.n_cut == sum(b - a for a, b in gone)
     assert automaton.cut_spans("a B-c, d e", [1, 3]) == "a , d e"
     assert automaton.decontamination_report(empty, spark.createDataFrame(bench, "item_id long, text string")).count() == 0
 
