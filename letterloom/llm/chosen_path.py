@@ -36,7 +36,7 @@ LEVELS = 3  # picks of a path
 WHOLE = 2_000  # larger buckets go to the block join without the bitmap test, which only saves work
 BLOCK = 400
 BITS = 512
-PART_ROWS, PART_BYTES = 50_000, 32_000_000  # sets, and bytes of tokens, that a task takes on at once
+PART_ROWS, PART_BYTES = 20_000, 8_000_000  # sets, and bytes of tokens, that a task takes on at once
 
 _u64 = np.uint64
 
@@ -72,7 +72,7 @@ def paths(tokens: np.ndarray, runs: int, levels: int = LEVELS) -> np.ndarray:
             return np.zeros(0, _u64)
         limit = _u64(2**64 - 1) if shared <= 1 else _u64(int(2**64 / shared))
         path, at = [], []
-        step = max(1, 2_000_000 // len(tokens))  # a very long text takes a few paths at once
+        step = max(1, 200_000 // len(tokens))  # a very long text takes a few paths at once
         for start in range(0, len(seeds), step):
             hit = mix(tokens[None, :] ^ seeds[start : start + step, None]) <= limit
             for k in range(level):
