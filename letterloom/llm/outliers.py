@@ -3,8 +3,9 @@
 Each document gets a vector of transformed statistics.  Per (language, source) a
 minimum-covariance-determinant estimate is found by concentration steps: from a start of
 medians and absolute deviations, the estimate is refitted on the share of rows with the
-smallest Mahalanobis distances until the steps are done, each of which cannot raise the
-determinant.  Documents beyond a distance limit are rejected.
+smallest Mahalanobis distances, until the group's determinant falls no more.  Documents
+beyond a distance limit are rejected.  Small groups are judged by a pool of their language's
+small groups, and a pool that is small itself by all documents.
 
 All work is done by DataFrame expressions.  Groups are only ever counted and summed, so one
 that owns a third of all rows costs no more than any other, and estimates come back to the
@@ -23,8 +24,10 @@ from letterloom.llm import common as c
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 CORE_SHARE = 0.75  # share of a group's rows that an estimate is fitted on
-STEPS = 3  # concentration steps
-MIN_GROUP = 60  # smaller groups are pooled per language; a smaller pool is judged by the base rules alone
+STEPS, REST = 100, 1e-3  # concentration steps of a group go on until its log determinant falls by less than REST; STEPS only ends a loop that never rests
+MIN_GROUP = 60  # smaller groups are pooled per language, smaller pools are judged by all documents
+MIN_ROWS = 12  # fewer documents altogether have no shape in five dimensions
+ALL = "\0all"
 LIMIT = 20.515  # squared distance: 99.9 % of chi-square of 5 degrees of freedom
 CHI2_MEDIAN = 4.3515  # of 5 degrees of freedom
 SALTS = 16
@@ -195,23 +198,35 @@ def _start(rows: DataFrame, keys: list[str]) -> DataFrame:
     return start
 
 
+def _log_determinant() -> Column:
+    return reduce(lambda x, y: x + y, [F.log(F.col(f"l_{i}{i}")) for i in range(len(DIMS))])
+
+
 def robust_estimates(rows: DataFrame, keys: list[str], core: float = CORE_SHARE, steps: int = STEPS) -> DataFrame:
-    """Centre, Cholesky factor and scale per group of at least ``MIN_GROUP`` rows.
+    """Centre, Cholesky factor and scale per group of at least ``MIN_ROWS`` rows.
 
     ``rows`` is a staged table, since every step reads it.  Ties at the quantile stay in.
     """
-    big = rows.groupBy(*keys).count().where(F.col("count") >= MIN_GROUP).drop("count")
+    big = rows.groupBy(*keys).count().where(F.col("count") >= MIN_ROWS).drop("count")
     rows = _with_groups(rows, big, keys)
     estimate = _start(rows, keys)
     log_d2 = F.log(F.greatest("d2", F.lit(1e-6)))
-    for _ in range(steps):
+    rested: list[DataFrame] = []
+    for step in range(steps):
         far = _distances(_with_groups(rows, estimate, keys)).select(*keys, "doc_id", *DIMS, "d2")
         cut = c.stage(_quantiles(far, keys, log_d2, 0.01, core), "outlier-cut")
         near = _with_groups(far, cut, keys).where(log_d2 <= F.col("cut"))
-        floors = estimate.select(*keys, *[f"f_{d}" for d in DIMS])
-        following = c.stage(_cholesky(_moments(near, keys).join(floors, keys), keys), "outlier-estimate")
-        c.drop_stage(cut, estimate)
-        estimate = following
+        floors = estimate.select(*keys, *[f"f_{d}" for d in DIMS], _log_determinant().alias("_before"))
+        following = _cholesky(_moments(near, keys).join(floors.drop("_before"), keys), keys).join(floors.select(*keys, "_before"), keys)
+        # the start is no fit, so its determinant says nothing
+        falls = F.lit(True) if step == 0 else _log_determinant() < F.col("_before") - REST
+        following = c.stage(following.withColumn("_falls", falls).drop("_before"), "outlier-estimate")
+        c.drop_stage(cut)
+        rested.append(following.where("not _falls").drop("_falls"))
+        estimate = following.where("_falls").drop("_falls")
+        if estimate.isEmpty():
+            break
+    estimate = reduce(DataFrame.unionByName, [*rested, estimate])
     far = _distances(_with_groups(rows, estimate, keys)).select(*keys, "d2")
     middle = _quantiles(far, keys, log_d2, 0.01, 0.5)
     # a spread below the floors must not shrink the scale, or rows inside them would be outliers
@@ -219,25 +234,33 @@ def robust_estimates(rows: DataFrame, keys: list[str], core: float = CORE_SHARE,
     return estimate.join(middle.select(*keys, scale), keys)
 
 
-def _pooled(counted: DataFrame) -> DataFrame:
-    """``counted`` with ``_group``: the source, or one pool for the language's small sources."""
-    keys = ["lang", "source"]
-    sizes = counted.groupBy(*keys).agg(F.count(F.when(~F.col("base_failed"), 1)).alias("_rows"))
-    group = F.when(F.col("_rows") >= MIN_GROUP, F.col("source")).otherwise(F.lit("\0pool"))
-    return _with_groups(counted, sizes.select(*keys, group.alias("_group")), keys)
+def _groups(counted: DataFrame) -> DataFrame:
+    """``lang, source, _lang, _group``: each source by itself, in its language's pool, or among all documents."""
+    sizes = counted.groupBy("lang", "source").agg(F.count(F.when(~F.col("base_failed"), 1)).alias("_rows"))
+    small = F.col("_rows") < MIN_GROUP
+    pool = F.sum(F.when(small, F.col("_rows")).otherwise(0)).over(Window.partitionBy("lang"))  # sources, not rows
+    lonely = small & (pool < MIN_GROUP)
+    return sizes.select(
+        "lang", "source", F.when(lonely, F.lit(ALL)).otherwise(F.col("lang")).alias("_lang"),
+        F.when(lonely, F.lit(ALL)).when(small, F.lit("\0pool")).otherwise(F.col("source")).alias("_group"),
+    )
 
 
 def judge(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     """The counts of every document with ``base_failed``, ``distance`` and ``kept``.
 
-    ``distance`` is null where no estimate exists: base rules failed, or group and pool have
-    fewer than ``MIN_GROUP`` rows left.  An empty table gives an empty result.
+    ``distance`` is null where no estimate exists: base rules failed, or there are fewer than ``MIN_ROWS``
+    documents to judge a lonely one by, which then stays.  An empty table gives an empty result.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     counted = c.stage(text_statistics(docs).withColumn("base_failed", failed), "outlier-statistics")
-    pooled = _pooled(counted).withColumns(_vector())
-    keys = ["lang", "_group"]
-    rows = c.stage(pooled.where(~F.col("base_failed")).select(*keys, "doc_id", *DIMS), "outlier-rows")
+    groups = c.stage(_groups(counted), "outlier-group-names")
+    pooled = _with_groups(counted, groups, ["lang", "source"]).withColumns(_vector())
+    keys = ["_lang", "_group"]
+    sound = pooled.where(~F.col("base_failed")).select(*keys, "doc_id", *DIMS)
+    if not groups.where(F.col("_lang") == ALL).isEmpty():
+        sound = sound.where(F.col("_lang") != ALL).unionByName(sound.withColumns({k: F.lit(ALL) for k in keys}))
+    rows = c.stage(sound, "outlier-rows")
     estimates = c.stage(robust_estimates(rows, keys), "outlier-groups")
     c.drop_stage(rows)
     judged = _distances(_with_groups(pooled, estimates, keys, "left"))

@@ -275,6 +275,66 @@ def test_quality_rules(spark, empty):
     assert outliers.quality_rules_report(empty).count() == 0
 
 
+def plain_distances(groups):
+    """Distances of minimum-covariance-determinant estimates in plain numpy: rows of statistics per group."""
+    out = {}
+    for name, x in groups.items():
+        grid = lambda v, share, width=0.01: (np.sort(np.floor(v / width))[int(np.ceil(share * len(v) - 1e-9)) - 1] + 1) * width
+        centre = np.array([grid(x[:, k], 0.5) for k in range(5)])
+        spread = np.array([grid(np.abs(x[:, k] - centre[k]), 0.5) for k in range(5)]) * 1.4826
+        words = max(np.expm1(centre[0]), 1.0)
+        chars = words * np.exp(centre[1])
+        floor = np.array([1 / words**0.5, 1 / chars**0.5, 0.5 / chars**0.5, 0.5 / words**0.25, 0.5 / (words / 8) ** 0.5])
+        mean, cov, last = centre, np.diag(spread**2 + floor**2), None
+        while True:
+            far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            log = np.log(np.maximum(far, 1e-6))
+            near = x[log <= grid(log, outliers.CORE_SHARE)]
+            mean = near.mean(0)
+            raw = near.T @ near / len(near) - np.outer(mean, mean)
+            varied = int((np.diag(raw) > floor**2).sum())
+            cov = raw * outliers.SHORTFALL[varied] + np.diag(floor**2)
+            now = 0.5 * np.linalg.slogdet(cov)[1]
+            if last is not None and not now < last - outliers.REST:
+                break
+            last = now
+        far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        scale = max(np.exp(grid(np.log(np.maximum(far, 1e-6)), 0.5)) / outliers.CHI2_MEDIAN, 1.0)
+        out[name] = far / scale
+    return out
+
+
+def test_verdicts_equal_plain_estimates(spark, monkeypatch):
+    """One language has a pool, one a pool that is too small and goes to all documents."""
+    monkeypatch.setattr(outliers, "MIN_GROUP", 40)
+    rng, rows = random.Random(28), []
+    for k in range(420):
+        lang, source = ("en", f"s{k % 3}") if k < 300 else ("de", f"t{k % 5}") if k < 400 else ("fr", "u")
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(25, 200))]
+        words = [w + "$" * (rng.random() < 0.05 * (k % 7)) for w in words]
+        lines = [" ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
+        rows.append((k, "\n".join(lines + lines[:: rng.choice([9, 50])]), lang, source, 0))
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
+    sound = {d: r for d, r in got.items() if not r.base_failed}
+
+    def vector(r):
+        n, chars = max(r.n_words, 1), max(r.word_chars, 1)
+        return [np.log1p(r.n_words), np.log(chars / n), (r.n_symbols / chars) ** 0.5, (r.n_dup_lines / (r.n_dup_lines + n**0.5)) ** 0.5, (r.n_repeat_words / n) ** 0.5]
+
+    members = {}
+    for d, r in sound.items():
+        members.setdefault("de-pool" if r.lang == "de" else "all" if r.lang == "fr" else r.source, []).append(d)
+    mine = {name: list(ids) for name, ids in members.items()}
+    members["all"] = list(sound)
+    want = plain_distances({name: np.array([vector(sound[d]) for d in ids]) for name, ids in members.items()})
+    for name, ids in members.items():
+        for d, distance in zip(ids, want[name]):
+            if d in mine[name]:
+                assert abs(got[d].distance - distance) < 1e-6 * (1 + distance)
+                assert got[d].kept == (distance <= outliers.LIMIT)
+    assert len(sound) > 300 and 0 < sum(not r.kept for r in sound.values()) < 100
+
+
 def test_each_statistic_rejects_alone(spark):
     rng = random.Random(18)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
