@@ -1,6 +1,7 @@
 """Each text operator against its definition, with nulls, empty tables, ties and clashing columns."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -311,7 +312,7 @@ def test_verdicts_equal_plain_estimates(spark, monkeypatch):
     for k in range(420):
         lang, source = ("en", f"s{k % 3}") if k < 300 else ("de", f"t{k % 5}") if k < 400 else ("fr", "u")
         words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(25, 200))]
-        words = [w + "$" * (rng.random() < 0.05 * (k % 7)) for w in words]
+        words = [w + "$" * (3 if k % 50 == 10 else rng.random() < 0.05 * (k % 7)) for w in words]
         lines = [" ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
         rows.append((k, "\n".join(lines + lines[:: rng.choice([9, 50])]), lang, source, 0))
     got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
@@ -409,7 +410,46 @@ def test_aligned_words_equal_plain_dynamic_programming():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
-        assert licenses._common(np.array(a, np.int64), np.array(b, np.int64)).tolist() == best[-1]
+        assert licenses._common(np.array(a, np.int64), np.array(b, np.int64), 15).tolist() == best[-1]
+
+
+@pytest.mark.parametrize("name", ["MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0-notice", "AGPL-3.0-notice"])
+def test_edited_copies_match_as_the_longest_common_subsequence(name):
+    """A copy with words changed, dropped and put in is aligned as well as without any band, and found as itself."""
+    rng = random.Random(name)
+    index = licenses.TemplateIndex([automaton.normal_words(t) for t in licenses.TEMPLATES.values()])
+    own = automaton.normal_words(licenses.TEMPLATES[name])
+    for _ in range(5):
+        words = list(own)
+        for _ in range(len(own) // 15):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = [b"zz%d" % k for k in range(rng.randrange(3))]
+        text = [b"before"] * 50 + words + [b"after"] * 50
+        best = [m for m in index.scan(text) if index.templates[m.template] == own]
+        row = [0] * (len(words) + 1)
+        for x in own:
+            last = 0
+            for j, y in enumerate(words, 1):
+                row[j], last = max(row[j], row[j - 1], last + (x == y)), row[j]
+        assert len(best) == 1 and best[0].covered == row[-1]
+
+
+def test_whole_licenses_win_over_their_parts(spark):
+    rows = [(1, licenses.TEMPLATES["BSD-3-Clause"]), (2, licenses.TEMPLATES["BSD-2-Clause"])]
+    got = licenses.scan_licenses(table(spark, rows), licenses.default_templates(spark)).collect()
+    assert {(r.doc_id, r.template_id, r.coverage) for r in got} == {(1, "BSD-3-Clause", 1.0), (2, "BSD-2-Clause", 1.0)}
+
+
+def test_long_text_of_license_lines_takes_linear_time():
+    index = licenses.TemplateIndex([automaton.normal_words(t) for t in licenses.TEMPLATES.values()])
+    words = automaton.normal_words(licenses.TEMPLATES["MIT"])
+    took = []
+    for n in (100, 800):
+        start = time.process_time()
+        found = index.scan(words * n)
+        took.append(time.process_time() - start)
+        assert len(found) == n and all(m.covered == len(words) for m in found)
+    assert took[1] < 30 * took[0] + 1
 
 
 # --- 8 ------------------------------------------------------------------------------------
