@@ -126,7 +126,8 @@ def fold(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
     """Fits on at most ``sample_rows`` labelled documents outside fold 0, picked by the hash of their id.
 
-    An id with several labels takes their rounded mean; null labels do not count.
+    An id with several labels takes their rounded mean; null labels do not count.  Repeated rows of a
+    labelled id each count, up to twice as many rows as labels; texts are whole, whatever their length.
     """
     marked = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold() != 0))
@@ -139,7 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     stats = c.map_rows(
         picked, lambda r: (r["doc_id"], r["_label"], statistics(r["text"])), "doc_id long, label double, stats array<double>"
     )
-    rows = sorted((r["doc_id"], r["label"], tuple(r["stats"])) for r in stats.limit(2 * sample_rows).collect())
+    stats = stats.orderBy(F.xxhash64("doc_id"), "doc_id", "stats").limit(2 * sample_rows)
+    rows = sorted((r["doc_id"], r["label"], tuple(r["stats"])) for r in stats.collect())
     x = np.array([r[2] for r in rows], float).reshape(len(rows), len(FEATURES))
     return fit_trees(x, np.array([r[1] for r in rows], float))
 
@@ -164,7 +166,10 @@ def score(docs: DataFrame, trees: Trees, column: str = "quality_score") -> DataF
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: id, whether it was held out, score and predicted label."""
+    """One row per document: id, whether it was held out, score and predicted label.
+
+    Repeated rows have equal results; columns besides id and text play no part.
+    """
     scored = score(c.documents(docs), fit(docs, labels), "score")
     return scored.select(
         "doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")

@@ -215,7 +215,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
 
 
 def tokenize_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """One row per document: token count, and digests of the ids and of what they decode to."""
+    """One row per document: token count, and digests of the ids and of what they decode to.
+
+    A null text is empty and has no ids; repeated rows have equal results; texts are whole, whatever
+    their length; columns besides id and text play no part.
+    """
     docs.sparkSession.sparkContext.addFile(ranks_path)
     file = ranks_path.rsplit("/", 1)[-1]
 

@@ -82,7 +82,8 @@ def kept_bytes(text: str, spans: list[int]) -> bytes:
 def byte_string_report(docs: DataFrame) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, and a digest of what is left.
 
-    A null text is empty.  A cut may fall inside a character, so what is left is bytes.
+    A null text is empty.  A cut may fall inside a character, so what is left is bytes.  Texts are whole; very
+    long ones are taken in overlapping segments with the same result.  Columns besides id and text play no part.
     """
 
     def digest(row: dict) -> tuple:

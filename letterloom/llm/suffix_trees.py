@@ -61,7 +61,8 @@ def kept_words(text: str, spans: list[int]) -> list[bytes]:
 def substring_report(docs: DataFrame) -> DataFrame:
     """One row per document: words, removed words and a digest of the kept ones.
 
-    Null and empty texts have no words.  Words are compared by 64-bit hashes.
+    Null and empty texts have no words.  Words are compared by 64-bit hashes.  Texts are whole; very long
+    ones are taken in overlapping segments with the same result.  Columns besides id and text play no part.
     """
 
     def digest(row: dict) -> tuple:

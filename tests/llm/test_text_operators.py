@@ -614,3 +614,19 @@ def test_pipeline_stages_keep_columns_and_act(spark, empty):
     assert {r.doc_id for r in steps["decontaminate"](spark, docs, SF_DIR).collect()} == {d for d, _ in rows} - {r.doc_id for r in bad.collect()}
     for r in steps["private_data"](spark, docs, SF_DIR).collect():
         assert not h.personal_spans(r.text)
+
+
+def test_pipeline_tokens_are_those_of_the_kept_texts(spark):
+    """Every row of the whole run decodes to the text that the stages before the last one leave."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        docs = step(spark, docs, SF_DIR)
+    assert docs.columns == spark.read.parquet(f"{SF_DIR}/documents.parquet").columns
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert {r.doc_id for r in got} == set(texts)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(ranks), special_tokens={})
+    for r in got:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.n_tokens and ids == known.encode_ordinary(texts[r.doc_id] or "")
