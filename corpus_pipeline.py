@@ -1,4 +1,10 @@
-"""Training-data pipeline: each stage is one of the package's operators applied to all that the last one kept."""
+"""Training-data pipeline: each stage is one of the package's operators applied to all that the last one kept.
+
+A null text is an empty one for every stage, and stays null where a document passes.  Repeated rows are
+near duplicates of each other, so one of them stays.  An empty table passes all stages.  Texts are whole,
+whatever their length.  Other columns travel along, also under names that operators use inside, up to the last
+stage, which returns ids and token ids only.
+"""
 
 from __future__ import annotations
 
