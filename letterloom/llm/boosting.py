@@ -161,6 +161,7 @@ def score(docs: DataFrame, trees: Trees, column: str = "quality_score") -> DataF
             x = np.array([statistics(t.as_py()) for t in texts], float).reshape(batch.num_rows, len(FEATURES))
             scores = pa.array(sent.value.score(x), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, column])
+        c.give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -210,6 +210,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
             if decoded:
                 columns.append(pa.array([encoder.decode(x) for x in encoded], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *new])
+        c.give_back()
 
     return docs.mapInArrow(run, schema)
 

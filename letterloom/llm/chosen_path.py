@@ -166,7 +166,9 @@ def _possible(buckets: DataFrame, sketches: DataFrame, parts: int) -> DataFrame:
                 ok[np.arange(len(some)), np.arange(start, start + len(some))] = False
                 keep[some] = ok.any(1)
         rows = pa.array(np.flatnonzero(keep))
-        return table.select(["key", "set"]).take(rows)
+        kept = table.select(["key", "set"]).take(rows)
+        c.give_back()
+        return kept
 
     joined = buckets.where(F.col("n") <= WHOLE).join(sketches, "set").select("key", "set", "size", "bits")
     joined = joined.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
@@ -295,6 +297,8 @@ def _links(units: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
                 ranked = sorted(nodes)
                 out += [(nodes[k], int(links[k]), ranked[label[k]]) for k in np.flatnonzero(links)]
         node, link, parent = zip(*out) if out else ((), (), ())
+        del rows, groups
+        c.give_back()
         return pa.table([pa.array(node, pa.binary()), pa.array(link, pa.int64()), pa.array(parent, pa.binary())], names=["node", "links", "parent"])
 
     joined = units.join(sets, "set").drop("set").withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)))

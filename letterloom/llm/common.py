@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
@@ -93,6 +94,13 @@ def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def give_back() -> None:
+    """Hands memory that a task no longer uses back to the system, as the worker stays for the next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 BatchFn = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -112,6 +120,7 @@ def map_rows(df: DataFrame, per_row: Callable[[dict], tuple], schema: str) -> Da
                 out.append(per_row({k: c[i].as_py() for k, c in zip(keys, columns)}))
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -29,6 +29,7 @@ WIDE, MARGIN = 512, 20  # characters of a window when tagging, and how many at e
 PIECE = 2000  # characters of a stretch decoded at once
 SURE = 0.9  # least mean marginal of an added span
 BATCH_WINDOWS, BATCH_STEPS = 512, 20_000  # windows scored, and characters decoded, at once
+PART_CHARS = 1_000_000  # characters of the texts tagged at once, unless one text has more
 
 Span = tuple[int, int, int]  # kind index, start, end
 _ANCHOR = re.compile("[0-9@]")
@@ -133,7 +134,7 @@ def tag(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
     gain; the windows around stretches that can hold a span are scored again, and the path is
     searched there alone, which gives the path of the whole text.
     """
-    codes = [classes(t) for t in texts]
+    codes = [classes(t).astype(np.uint8) for t in texts]
     bounds = tagger.bounds()
     gains = [np.zeros((2, len(code)), np.float32) for code in codes]
     for served, e in _scored(tagger, codes, [(i, a) for i, code in enumerate(codes) for a in _windows_of(len(code))]):
@@ -204,6 +205,20 @@ def _paths(tagger: Tagger, jobs: list[tuple]) -> Iterator[tuple[int, int, np.nda
             yield i, a, path, marginal
 
 
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    """``texts`` in parts of ``PART_CHARS`` characters or a text."""
+    part: list[str] = []
+    size = 0
+    for text in texts:
+        if part and size + len(text) > PART_CHARS:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def _read_spans(tags: np.ndarray) -> list[Span]:
     out, at, hits = [], 0, np.flatnonzero(tags)
     while at < len(hits):
@@ -302,11 +317,12 @@ def find(docs: DataFrame, tagger: Tagger | None, base: str = "base_spans", every
             texts = [t or "" for t in batch.column(batch.schema.names.index("text")).to_pylist()]
             exact = [base_spans(t) for t in texts]
             model, once = sent.value, list(dict.fromkeys(texts))
-            known = dict(zip(once, tag(model, once) if model else [[] for _ in once]))
+            known = {t: spans for part in _parts(once) for t, spans in zip(part, tag(model, part) if model else [[] for _ in part])}
             tagged = [known[t] for t in texts]
             both = [all_spans(x, y) for x, y in zip(exact, tagged)]
             lists = [pa.array([[v for s in spans for v in s] for spans in rows], pa.list_(pa.int64())) for rows in (exact, both)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, base, every])
+        c.give_back()
 
     return docs.mapInArrow(run, schema)
 
