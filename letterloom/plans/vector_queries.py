@@ -340,7 +340,7 @@ def _(spark, sf):
 
 def _paragraph_model(spark, sf):
     docs = stage(_tokens(spark, sf).select("mid", "tokens"), "paragraph-bodies")
-    return pg.fit_paragraphs(docs, dim=128, rounds=6, passes=5)
+    return pg.fit_paragraphs(docs, dim=128, rounds=4, passes=3)
 
 
 @query("doc_embeddings")
