@@ -17,7 +17,10 @@ from pyspark.sql import Window
 from letterloom.operators.reshape import explode_computed
 
 CENTRALITIES = ("degree", "w_degree", "closeness", "w_closeness")
-ROWS_PER_FRAME = 50_000
+TOKENS_AT_ONCE = 200_000
+NARROW_CELLS = 1 << 19  # places times documents of one sweep
+LEVEL_CELLS = 1 << 11  # 64-bit words of one level
+FAR = 1 << 40  # length of an edge that is not there
 SOURCES_PER_BLOCK = 256  # distance columns held at once
 LONGEST_LEVEL = 64  # edges up to this length go level by level
 HISTORY_BYTES = 1 << 26  # memory for the levels of one document
@@ -79,65 +82,73 @@ def closeness_of_distinct(docs: DataFrame, window: int = 3) -> DataFrame:
     return nodes.select("mid", "term", _round5(value).alias("value"))
 
 
-def _graph(tokens: np.ndarray, window: int):
-    """(words, indptr, neighbour, weight) of the undirected graph, parallel edges kept."""
-    words, codes = np.unique(tokens, return_inverse=True)
-    n = len(words)
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    if len(codes) > window:
-        for d in range(1, window):
-            a.append(codes[:-d])
-            b.append(codes[d:])
-    a, b = np.concatenate(a), np.concatenate(b)
-    apart = a != b
-    edge, count = np.unique(a[apart] * n + b[apart], return_counts=True)
-    a, b = edge // n, edge % n
-    src, dst, weight = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([count, count])
-    order = np.argsort(src, kind="stable")
-    indptr = np.searchsorted(src[order], np.arange(n))
-    return words, indptr, dst[order], weight[order].astype(np.float64)
-
-
-def _by_target(indptr: np.ndarray, nbr: np.ndarray, keep: np.ndarray):
-    """(targets, their first edge, sources) of the kept edges, grouped by target."""
-    target = np.repeat(np.arange(len(indptr)), np.diff(np.append(indptr, len(nbr))))[keep]
-    linked, starts = np.unique(target, return_index=True)
-    return linked, starts, nbr[keep]
-
-
-def _level_sums(n: int, indptr, nbr, weight) -> np.ndarray:
-    """Distance sums for small whole-number lengths, by bit sets of reached words.
-
-    ``reach[t]`` holds, for each word, the bits of all words at most t away; an edge
-    of length w hands on what its other end had w levels ago.
+def _graphs(tokens: np.ndarray, lengths: np.ndarray, window: int):
+    """(words, sizes, a, b, weight) of the documents' undirected graphs under each other, parallel edges as the lightest.
+
+    Words are numbered through all documents, each document's in the order of their first places; ``a`` < ``b``.
+    """
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    word, names = pd.factorize(tokens)
+    code, firsts = pd.factorize(doc * len(names) + word)
+    sizes = np.bincount(firsts // max(1, len(names)), minlength=len(lengths))
+    paired = lengths[doc] > window
+    keys = [np.empty(0, np.int64)]
+    for d in range(1, window):
+        kept = (doc[:-d] == doc[d:]) & paired[d:] & (code[:-d] != code[d:])
+        keys.append((code[:-d] * len(firsts) + code[d:])[kept])
+    edge, weight = np.unique(np.concatenate(keys), return_counts=True)
+    a, b = edge // len(firsts), edge % len(firsts)
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((weight, high, low))
+    low, high, weight = low[order], high[order], weight[order]
+    new = np.append(True, (np.diff(low) != 0) | (np.diff(high) != 0))[: len(low)]
+    return names[firsts % max(1, len(names))], sizes, low[new], high[new], weight[new]
+
+
+def _by_target(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray):
+    """(targets, their first edge, sources, weights) of the edges in both directions, grouped by target."""
+    target, source, weight = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([weight, weight])
+    order = np.argsort(target, kind="stable")
+    linked, starts = np.unique(target[order], return_index=True)
+    return linked, starts, source[order], weight[order]
+
+
+def _level_sums(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Distance sums for small whole-number lengths, by bit sets of reached words; documents of like size go together.
+
+    ``past[-1]`` holds, for each word, the bits of all words of its document reached so far; an edge of
+    length w hands on what its other end had w levels ago.
     """
-    lengths = np.unique(weight)
-    groups = [(int(w), *_by_target(indptr, nbr, weight == w)) for w in lengths]
-    longest = int(lengths[-1])
-    block = max(64, min(n, HISTORY_BYTES // (n * (longest + 2)) * 8))
+    n, width, longest = int(sizes.sum()), int(sizes.max()), int(weight.max())
+    groups = [(int(w), *_by_target(n, a[weight == w], b[weight == w], weight[weight == w])[:3]) for w in np.unique(weight)]
+    place, own = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(sizes, sizes)
+    block = max(64, min(width, HISTORY_BYTES // (n * (longest + 2)) * 8))
     sums = np.zeros(n)
-    for first in range(0, n, block):
-        cols = np.arange(first, min(first + block, n))
-        bits = np.arange(len(cols))
-        now = np.zeros((n, (len(cols) + 63) // 64), dtype=np.uint64)
-        now[cols, bits // 64] = np.uint64(1) << (bits % 64).astype(np.uint64)
-        past, counts, quiet = [now], [np.bitwise_count(now).sum(axis=1)], 0
+    for first in range(0, width, block):
+        some = np.flatnonzero((place >= first) & (place < first + block))
+        bits = place[some] - first
+        now = np.zeros((n, (min(block, width - first) + 63) // 64), dtype=np.uint64)
+        now[some, bits // 64] = np.uint64(1) << (bits % 64).astype(np.uint64)
+        past, counts = [now], [np.bitwise_count(now).sum(axis=1, dtype=np.int64)]
+        total, levels, quiet = np.zeros(n), 0, 0
         while quiet < longest:
             new = past[-1].copy()
             for w, linked, starts, sources in groups:
                 if w <= len(past):
                     new[linked] |= np.bitwise_or.reduceat(past[-w][sources], starts, axis=0)
-            counts.append(np.bitwise_count(new).sum(axis=1))
-            quiet = quiet + 1 if np.array_equal(counts[-1], counts[-2]) else 0
+            total += counts[-1]
+            levels += 1
+            counts = [counts[-1], np.bitwise_count(new).sum(axis=1, dtype=np.int64)]
+            quiet = quiet + 1 if np.array_equal(*counts) else 0
             past = [*past[-longest:], new]
         final = counts[-1].astype(np.float64)
-        sums += sum(final - c for c in counts) + (len(cols) - final) * n
+        sums += final * levels - total + (np.clip(own - first, 0, block) - final) * own
     return sums
 
 
-def _relaxed_sums(n: int, indptr, nbr, weight) -> np.ndarray:
+def _relaxed_sums(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Distance sums for any lengths, by relaxing all edges until nothing improves."""
-    linked, starts, sources = _by_target(indptr, nbr, np.ones(len(nbr), dtype=bool))
+    linked, starts, sources, weight = _by_target(n, a, b, weight)
     sums = np.zeros(n)
     for first in range(0, n, SOURCES_PER_BLOCK):
         cols = np.arange(first, min(first + SOURCES_PER_BLOCK, n))
@@ -152,45 +163,145 @@ def _relaxed_sums(n: int, indptr, nbr, weight) -> np.ndarray:
     return sums
 
 
-def _distance_sums(tokens: np.ndarray, window: int, weighted: bool):
-    """(words, sum of distances to all other words); an unreachable word is n away."""
-    words, indptr, nbr, weight = _graph(tokens, window)
-    n = len(words)
-    if len(nbr) == 0:
-        return words, np.full(n, float((n - 1) * n))
+def _narrow_steps(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of neighbours one and two places apart, where ``one`` and ``two`` are the lengths of their edges.
+
+    Rows are places, columns documents.  No edge passes over two words, so a way between neighbours
+    keeps to one side of them.
+    """
+    before, after = one.copy(), one.copy()
+    for p in range(1, len(one)):
+        before[p] = np.minimum(one[p], two[p - 1] + before[p - 1])
+    for p in range(len(one) - 2, -1, -1):
+        after[p] = np.minimum(one[p], two[p] + after[p + 1])
+    one = np.minimum(before, after)
+    return one, np.minimum(two, one[:-1] + one[1:])
+
+
+def _narrow_before(sizes: np.ndarray, one: np.ndarray, two: np.ndarray, longest: int) -> np.ndarray:
+    """For each word (places as rows, documents by falling size as columns) the sum of distances to all words before it.
+
+    Two neighbours part the words before them from those after them, so all words before with the
+    same difference of distances to the two go on as one number.
+    """
+    states = 2 * longest + 1
+    shift = np.arange(states) - longest
+    docs = np.arange(len(sizes))
+    counts = np.zeros((len(sizes), states))
+    counts[docs, longest + one[0]] += 1
+    counts[docs, longest - one[0]] += 1
+    sums = np.zeros((len(one) + 1, len(sizes)))
+    sums[1] = one[0]
+    active = np.searchsorted(-sizes, -np.arange(len(one) + 1), side="left")  # documents of more than p words
+    for p in range(1, len(one)):
+        m = active[p + 1]
+        step = np.minimum(one[p, :m, None], two[p - 1, :m, None] - shift)
+        sums[p + 1, :m] = sums[p, :m] + (counts[:m] * step).sum(axis=1)
+        counts = np.bincount((docs[:m, None] * states + step + longest).ravel(), counts[:m].ravel(), m * states).reshape(m, states)
+        counts[docs[:m], longest - one[p, :m]] += 1
+    return sums
+
+
+def _narrow_sums(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray):
+    """(sums, done): distance sums of documents, by falling size, whose edges join words at most two places apart.
+
+    Each word takes a fixed number of steps, whatever the length of the ways.  A document whose neighbours
+    are over ``LONGEST_LEVEL`` apart is not done.
+    """
+    starts = np.cumsum(sizes) - sizes
+    doc = np.searchsorted(starts, a, side="right") - 1
+    one, two = (np.full((sizes[0] - k, len(sizes)), FAR, np.int64) for k in (1, 2))
+    for k, table in ((1, one), (2, two)):
+        some = b - a == k
+        table[a[some] - starts[doc[some]], doc[some]] = weight[some]
+    one, two = _narrow_steps(one, two)
+    inside = np.arange(len(one))[:, None] < sizes - 1
+    one, two = np.where(inside, one, 1), np.where(inside[1:], two, 1)
+    done = one.max(axis=0) <= LONGEST_LEVEL
+    one, two = np.where(done, one, 1), np.where(done, two, 1)
+    longest = int(one.max())
+    place, docs = np.arange(sizes[0])[:, None], np.arange(len(sizes))
+    back_one, back_two = (t[np.maximum(sizes - 1 - k - place[: len(t)], 0), docs] for k, t in ((1, one), (2, two)))
+    forth, back = _narrow_before(sizes, one, two, longest), _narrow_before(sizes, back_one, back_two, longest)
+    sums = forth + back[np.maximum(sizes - 1 - place, 0), docs]
+    return sums.T[(place < sizes).T], done
+
+
+def _parts(sizes: np.ndarray, cells: int, wide: int) -> Iterator[np.ndarray]:
+    """Documents by falling size, as many at once as fill ``cells``.
+
+    A word takes a cell, or with ``wide`` one for each ``wide`` words of the document.
+    """
+    order = np.argsort(-sizes, kind="stable")
+    at = 0
+    while at < len(order):
+        n = int(sizes[order[at]])
+        some = max(1, cells // (n * -(-n // wide) if wide else n))
+        yield order[at : at + some]
+        at += some
+
+
+def _taken(docs: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray, first_edge: np.ndarray):
+    """(words, a, b, weight) of some documents, in their order, renumbered; ``words`` are their old numbers."""
+    starts, n = np.cumsum(sizes) - sizes, sizes[docs]
+    words = np.repeat(starts[docs], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    m = first_edge[docs + 1] - first_edge[docs]
+    some = np.repeat(first_edge[docs], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+    move = np.repeat(np.cumsum(n) - n - starts[docs], m)
+    return words, a[some] + move, b[some] + move, weight[some]
+
+
+def _distance_sums(tokens: np.ndarray, lengths: np.ndarray, window: int, weighted: bool):
+    """(words, sizes, sums): all documents' words under each other, each with the sum of distances to
+    all other words of its document; an unreachable word is n away."""
+    words, sizes, a, b, weight = _graphs(tokens, lengths, window)
     if not weighted:
-        weight = np.ones(len(nbr))
-    sums = _level_sums if weight.max() <= LONGEST_LEVEL else _relaxed_sums
-    return words, sums(n, indptr, nbr, weight)
+        weight = np.ones_like(weight)
+    own = np.repeat(sizes, sizes).astype(np.float64)
+    sums = (own - 1) * own
+    first_edge = np.searchsorted(a, np.append(np.cumsum(sizes) - sizes, len(words)))
+    linked = np.flatnonzero(np.diff(first_edge))
+    if not len(linked):
+        return words, sizes, sums
+    starts = first_edge[linked]
+    longest, span = np.maximum.reduceat(weight, starts), np.maximum.reduceat(b - a, starts)
+    edges = (sizes, a, b, weight, first_edge)
+    narrow, wide = linked[(span <= 2) & (longest <= LONGEST_LEVEL)], linked[(span > 2) & (longest <= LONGEST_LEVEL)]
+    for part in _parts(sizes[narrow], NARROW_CELLS, 0):
+        docs = narrow[part]
+        nodes, *graph = _taken(docs, *edges)
+        found, done = _narrow_sums(sizes[docs], *graph)
+        sums[nodes] = found
+        wide = np.append(wide, docs[~done])
+    for length in np.unique(np.ceil(np.log2(longest))):
+        alike = wide[np.isin(wide, linked[np.ceil(np.log2(longest)) == length])]
+        for part in _parts(sizes[alike], LEVEL_CELLS, 64):
+            nodes, *graph = _taken(alike[part], *edges)
+            sums[nodes] = _level_sums(sizes[alike[part]], *graph)
+    for doc in linked[longest > LONGEST_LEVEL]:
+        nodes, *graph = _taken(np.array([doc]), *edges)
+        sums[nodes] = _relaxed_sums(len(nodes), *graph)
+    return words, sizes, sums
 
 
 def closeness(docs: DataFrame, window: int = 3, weighted: bool = False) -> DataFrame:
     """Closeness in any document's graph, edge counts as lengths when ``weighted``.
 
     Shortest paths have no expression form, so Arrow batches of documents go through
-    a numpy helper, one document at a time.
+    a numpy helper, some documents of about ``TOKENS_AT_ONCE`` words together at a time.
     """
 
-    def table(parts: list) -> pd.DataFrame:
-        mids = np.repeat([m for m, _, _ in parts], [len(w) for _, w, _ in parts])
-        words, values = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
-        return pd.DataFrame({"mid": mids, "term": words.astype(object), "value": values})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts, rows = [], 0
         for batch in batches:
-            for mid, tokens in zip(batch["mid"], batch["tokens"]):
-                if len(tokens) == 0:
-                    continue
-                words, sums = _distance_sums(np.asarray(tokens, dtype=str), window, weighted)
-                n = len(words)
-                parts.append((mid, words, np.floor((n - 1) / sums * 100_000 + 0.5) / 100_000 if n > 1 else np.zeros(1)))
-                rows += n
-                if rows >= ROWS_PER_FRAME:
-                    yield table(parts)
-                    parts, rows = [], 0
-        if parts:
-            yield table(parts)
+            lengths = batch["tokens"].map(len).to_numpy()
+            batch, lengths = batch[lengths > 0], lengths[lengths > 0]
+            share = (np.cumsum(lengths) - lengths) // TOKENS_AT_ONCE
+            for k in np.unique(share):
+                some = batch[share == k]
+                words, sizes, sums = _distance_sums(np.concatenate(some["tokens"].to_list()), lengths[share == k], window, weighted)
+                n = np.repeat(sizes, sizes)
+                value = np.floor(np.where(n > 1, (n - 1) / np.maximum(sums, 1), 0.0) * 100_000 + 0.5) / 100_000
+                yield pd.DataFrame({"mid": np.repeat(some["mid"].to_numpy(), sizes), "term": words, "value": value})
 
     return docs.select("mid", "tokens").repartition("mid").mapInPandas(run, "mid bigint, term string, value double")
 
