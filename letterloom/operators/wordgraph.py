@@ -10,13 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from letterloom.operators.reshape import explode_computed
 
 CENTRALITIES = ("degree", "w_degree", "closeness", "w_closeness")
+ROWS_PER_FRAME = 50_000
+DOCS_AT_ONCE = 200
 TOKENS_AT_ONCE = 200_000
 NARROW_CELLS = 1 << 19  # places times documents of one sweep
 LEVEL_CELLS = 1 << 11  # 64-bit words of one level
@@ -31,38 +34,82 @@ def _round5(value: Column) -> Column:
     return F.floor(value * 100_000 + 0.5) / 100_000
 
 
-def _window_pairs(tokens: Column, window: int) -> Column:
-    """(a, b) for token pairs less than ``window`` apart, first to second.
+def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of about ``TOKENS_AT_ONCE`` words from rows sorted by ``mid``; rows of one ``mid`` stay together."""
+    held, words = [], 0
+    for batch in batches:
+        for at in range(0, len(batch), DOCS_AT_ONCE):
+            part = batch.slice(at, DOCS_AT_ONCE)
+            held.append(part)
+            words += len(part["tokens"].flatten())
+            if words < TOKENS_AT_ONCE:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            mid = table["mid"].combine_chunks().dictionary_encode("encode").indices
+            cut = int(np.searchsorted(np.asarray(mid), len(pc.unique(mid)) - 1))  # the last one may go on
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+            words = len(table.slice(cut)["tokens"].combine_chunks().flatten())
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _edges(table: pa.Table, window: int):
+    """(mids, terms, a, b, weight, nodes): edges and words of all documents, numbered by ``mid`` * terms + term."""
+    mid = table["mid"].combine_chunks().dictionary_encode("encode")
+    tokens = table["tokens"].combine_chunks()
+    term = tokens.flatten().dictionary_encode()
+    code, n = np.asarray(term.indices).astype(np.int64), max(1, len(term.dictionary))
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0)).astype(np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    code = np.asarray(mid.indices).astype(np.int64)[row] * n + code
+    low, high = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for d in range(1, window):
+        kept = (row[:-d] == row[d:]) & (lengths[row[d:]] > window) & ((code[:-d] != code[d:]) | (place[d:] < window))
+        low.append(code[:-d][kept])
+        high.append(code[d:][kept])
+    low, high = np.concatenate(low), np.concatenate(high)
+    edge, weight = np.unique(low * n + high % n, return_counts=True)
+    a = edge // n
+    return mid.dictionary, term.dictionary, a, a // n * n + edge % n, weight, np.unique(code)
+
 
-    Equal words pair up only when the second one is among the first ``window``
-    tokens.  Documents of at most ``window`` tokens have no pairs.
+def word_edges(docs: DataFrame, window: int = 3) -> DataFrame:
+    """(mid, a, b, weight): directed edges, weighted by how often they occur.
+
+    Counted some documents at a time, as a partition's edges are many times its text.
     """
 
-    def at_distance(d: Column) -> Column:
-        later = F.slice(tokens, d + 1, F.greatest(F.size(tokens) - d, F.lit(0)))
-        made = F.transform(later, lambda b, i: F.struct(F.get(tokens, i).alias("a"), b.alias("b"), (i + d).alias("j")))
-        return F.filter(made, lambda p: (p["a"] != p["b"]) | (p["j"] < window))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_documents(batches):
+            mids, terms, a, b, weight, _ = _edges(table, window)
+            n = max(1, len(terms))
+            columns = [mids.take(pa.array(a // n)), terms.take(pa.array(a % n)), terms.take(pa.array(b % n)), pa.array(weight.astype(np.int64))]
+            yield from pa.table(columns, names=["mid", "a", "b", "weight"]).to_batches(max_chunksize=ROWS_PER_FRAME)
 
-    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window - 1)), at_distance))
-    return F.when(F.size(tokens) > window, pairs)
+    return _by_document(docs, run, "a string, b string, weight bigint")
 
 
-def word_edges(docs: DataFrame, window: int = 3) -> DataFrame:
-    """(mid, a, b, weight): directed edges, weighted by how often they occur."""
-    moved = docs.select("mid", "tokens").repartition("mid")
-    pairs = explode_computed(moved, ["mid"], _window_pairs(F.col("tokens"), window), "_p")
-    return pairs.groupBy("mid", F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(F.count(F.lit(1)).alias("weight"))
+def _by_document(docs: DataFrame, run, columns: str) -> DataFrame:
+    moved = docs.select("mid", "tokens").repartition("mid").sortWithinPartitions("mid")
+    return moved.mapInArrow(run, f"mid {docs.schema['mid'].dataType.simpleString()}, {columns}")
 
 
 def _degree(docs: DataFrame, window: int, weighted: bool) -> DataFrame:
-    edges = word_edges(docs, window).withColumn("_v", F.col("weight") if weighted else F.lit(1).cast("bigint"))
-    ends = edges.select("mid", F.explode(F.array("a", "b")).alias("term"), "_v")
-    moved = docs.select("mid", "tokens").repartition("mid")
-    nodes = explode_computed(moved, ["mid"], F.array_distinct("tokens"), "term")
-    nodes = nodes.withColumn("_v", F.lit(0).cast("bigint"))
-    total = ends.union(nodes).groupBy("mid", "term").agg(F.sum("_v").alias("_v"))
-    others = F.count(F.lit(1)).over(Window.partitionBy("mid")) - 1
-    return total.select("mid", "term", F.when(others > 0, _round5(F.col("_v") / others)).otherwise(0.0).alias("value"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_documents(batches):
+            mids, terms, a, b, weight, nodes = _edges(table, window)
+            n = max(1, len(terms))
+            ends, value = np.searchsorted(nodes, np.concatenate([a, b])), np.concatenate([weight, weight])
+            total = np.bincount(ends, value if weighted else None, len(nodes)).astype(np.float64)
+            others = np.bincount(nodes // n, minlength=len(mids))[nodes // n] - 1
+            value = np.where(others > 0, np.floor(total / np.maximum(others, 1) * 100_000 + 0.5) / 100_000, 0.0)
+            columns = [mids.take(pa.array(nodes // n)), terms.take(pa.array(nodes % n)), pa.array(value)]
+            yield from pa.table(columns, names=["mid", "term", "value"]).to_batches(max_chunksize=ROWS_PER_FRAME)
+
+    return _by_document(docs, run, "term string, value double")
 
 
 def closeness_of_distinct(docs: DataFrame, window: int = 3) -> DataFrame:

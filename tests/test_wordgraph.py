@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from letterloom.operators import wordgraph as wg
-from tests.test_edges import brute_closeness
+from tests.test_edges import brute_closeness, brute_edges
 
 
 @pytest.mark.parametrize("weighted", [False, True])
@@ -40,3 +40,29 @@ def test_narrow_and_wide_documents_together(weighted, window):
         want = brute_closeness(doc, window, weighted)
         assert got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
         at += n
+
+
+def test_edges_and_degrees_of_split_documents(spark, monkeypatch):
+    """Documents counted a few at a time; rows that share an id stay one document, also at a cut."""
+    rng = random.Random(8)
+    rows = [(m // 2 if m % 3 else m, [rng.choice("abcdef") for _ in range(rng.randint(0, 12))]) for m in range(90)]
+    df = spark.createDataFrame([*rows, (500, None)], "mid long, tokens array<string>").coalesce(1)
+    monkeypatch.setattr(wg, "TOKENS_AT_ONCE", 15)
+    monkeypatch.setattr(wg, "DOCS_AT_ONCE", 2)
+    want, terms = {}, {}
+    for mid, doc in rows:
+        terms.setdefault(mid, set()).update(doc)
+        for (a, b), n in brute_edges(doc, 3).items():
+            want[mid, a, b] = want.get((mid, a, b), 0) + n
+    edges = wg.word_edges(df)
+    found = edges.collect()
+    assert len(found) == len(want) and {(r.mid, r.a, r.b): r.weight for r in found} == want
+    assert "Aggregate" not in edges._jdf.queryExecution().optimizedPlan().toString()  # a partition's edges spilled
+    for kind in ("degree", "w_degree"):
+        sums = {(m, t): 0 for m, some in terms.items() for t in some}
+        for (m, a, b), n in want.items():
+            for t in (a, b):
+                sums[m, t] += n if kind == "w_degree" else 1
+        got = {(r.mid, r.term): r.value for r in wg.centrality(df, kind).collect()}
+        assert got.keys() == sums.keys()
+        assert all(abs(got[k] - (s / (len(terms[k[0]]) - 1) if len(terms[k[0]]) > 1 else 0)) < 1.1e-5 for k, s in sums.items())
