@@ -11,7 +11,7 @@ from pyspark.sql import Window
 
 from letterloom.functions import weights as wt
 from letterloom.operators.reshape import explode_computed
-from letterloom.operators.skew import skew_join
+from letterloom.operators.skew import hot_keys, skew_join
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -84,10 +84,18 @@ def log2_model(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     return vocab.select("term", idf.alias("idf")).where("idf > 0")
 
 
-def tfidf_transform(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(mid, term, weight): raw count times fitted idf, unit length per document."""
+def tfidf_transform(docs: DataFrame, model: DataFrame, keep_n: bool = False) -> DataFrame:
+    """(mid, term, weight): raw count times fitted idf, unit length per document.
+
+    ``keep_n`` tells that the model is of a vocabulary of at most ``keep_n`` words: then it goes to the documents,
+    and their words do not move.
+    """
     counts = term_counts(docs)
-    joined = skew_join(counts, model, ["term"], spread=["mid"])
+    if keep_n:
+        joined = counts.join(F.broadcast(model), "term")
+    else:
+        terms = explode_computed(docs, [], F.array_distinct("tokens"), "term")
+        joined = skew_join(counts, model, ["term"], spread=["mid"], hot=hot_keys(terms, ["term"]))
     weighted = joined.select("mid", "term", (F.col("cnt") * F.col("idf")).alias("weight"))
     return l2_normalize(weighted)
 

@@ -386,7 +386,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     docs = stage(v.doc_tokens(spark, sf), "tokens")
-    return _rounded(vc.tfidf_transform(docs, vc.log2_model(docs, vc.vocabulary(docs, no_below=4))))
+    return _rounded(vc.tfidf_transform(docs, vc.log2_model(docs, vc.vocabulary(docs, no_below=4)), keep_n=True))
 
 
 @query(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from letterloom.operators import vectors as vec
+from letterloom.operators import vocab as vc
 
 
 @pytest.fixture
@@ -62,3 +63,13 @@ def test_a_part_meets_each_word_once(spark):
         patch.setattr(vec, "_part_sums", counted)
         assert vec._word_sums(counts, vectors).where("known = 1 and every = 1").count() == 500
     assert sizes.value == 1
+
+
+def test_words_of_a_small_vocabulary_stay(spark):
+    """The model goes to the documents, whose words are counted once."""
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c"])], "mid long, tokens array<string>")
+    found = vc.tfidf_transform(docs, spark.createDataFrame([("a", 1.0), ("b", 2.0)], "term string, idf double"), keep_n=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and plan.count("Generate") == 1
+    got = {(r.mid, r.term): round(r.weight, 9) for r in found.collect()}
+    assert got == {(1, "a"): round(0.5**0.5, 9), (1, "b"): round(0.5**0.5, 9), (2, "b"): 1.0}
