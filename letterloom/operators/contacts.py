@@ -8,12 +8,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.operators.skew import rank_within, skew_join, top_k
+from letterloom.operators.skew import rank_within, skew_join, spread_out, top_k
 
 
 def pair_messages(flat: DataFrame, n: str = "n") -> DataFrame:
-    """Distinct messages per (sender, recipient)."""
-    return flat.groupBy("sender", "recipient").agg(F.count_distinct("mid").alias(n))
+    """Distinct messages per (sender, recipient).
+
+    Rows are hardly ever repeated, so they are counted where they were moved to and not before: a hash table of a
+    join's rows takes many times their size.  They go to all shuffle partitions, since small rows are
+    otherwise merged into few.
+    """
+    keys = ["sender", "recipient"]
+    spread = spread_out(flat.select(*keys, "mid"), [*keys, "mid"])
+    once = spread.groupBy(*keys, "mid").agg(F.max(F.when(F.col("mid").isNotNull(), 1).otherwise(0)).cast("bigint").alias("_one"))
+    return once.groupBy(*keys).agg(F.sum("_one").alias(n))
 
 
 def user_messages(flat: DataFrame, role: str = "sender", n: str = "n") -> DataFrame:

@@ -73,6 +73,14 @@ def drop_stages(spark: SparkSession) -> None:
     drop_path(spark, stage_root(spark))
 
 
+def spread_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys`` over all shuffle partitions, which adaptive execution then leaves as they are.
+
+    It merges partitions by their packed bytes, and millions of small rows make little of those.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 AUTO = "auto"
 
 
