@@ -22,11 +22,11 @@ ROWS_PER_FRAME = 50_000
 DOCS_AT_ONCE = 200
 TOKENS_AT_ONCE = 200_000
 NARROW_CELLS = 1 << 19  # places times documents of one sweep
-LEVEL_CELLS = 1 << 11  # 64-bit words of one level
+LEVEL_CELLS = 1 << 15  # 64-bit words of one level
+RANKS = 8  # edges of a word that are followed one by one
 FAR = 1 << 40  # length of an edge that is not there
-SOURCES_PER_BLOCK = 256  # distance columns held at once
 LONGEST_LEVEL = 64  # edges up to this length go level by level
-HISTORY_BYTES = 1 << 26  # memory for the levels of one document
+HISTORY_BYTES = 1 << 26  # memory for the levels of some documents
 
 
 def _round5(value: Column) -> Column:
@@ -152,23 +152,47 @@ def _graphs(tokens: np.ndarray, lengths: np.ndarray, window: int):
     return names[firsts % max(1, len(names))], sizes, low[new], high[new], weight[new]
 
 
-def _by_target(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray):
-    """(targets, their first edge, sources, weights) of the edges in both directions, grouped by target."""
-    target, source, weight = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([weight, weight])
+def _by_target(a: np.ndarray, b: np.ndarray):
+    """(targets, their first edge, sources) of the edges in both directions, grouped by target."""
+    target, source = np.concatenate([a, b]), np.concatenate([b, a])
     order = np.argsort(target, kind="stable")
     linked, starts = np.unique(target[order], return_index=True)
-    return linked, starts, source[order], weight[order]
+    return linked, starts, source[order]
+
+
+def _by_rank(a: np.ndarray, b: np.ndarray):
+    """(steps, rest): each step has (targets, sources) with one edge of a target, and ``rest`` the others as ``_by_target``.
+
+    Targets that are the first words of all are a slice.
+    """
+    linked, starts, source = _by_target(a, b)
+    degree = np.diff(np.append(starts, len(source)))
+    target, rank = np.repeat(linked, degree), np.arange(len(source)) - np.repeat(starts, degree)
+    steps = []
+    for k in range(min(RANKS, int(degree.max()))):
+        some = rank == k
+        to = target[some]
+        steps.append((slice(0, len(to)) if to[-1] == len(to) - 1 else to, source[some]))
+    more = rank >= RANKS
+    rest, first = np.unique(target[more], return_index=True)
+    return steps, (rest, first, source[more])
 
 
 def _level_sums(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Distance sums for small whole-number lengths, by bit sets of reached words; documents of like size go together.
 
     ``past[-1]`` holds, for each word, the bits of all words of its document reached so far; an edge of
-    length w hands on what its other end had w levels ago.
+    length w hands on what its other end had w levels ago.  A document with edges is connected, as
+    neighbours are joined, so it is done once all its bits are set; from time to time those done are left out.
     """
     n, width, longest = int(sizes.sum()), int(sizes.max()), int(weight.max())
-    groups = [(int(w), *_by_target(n, a[weight == w], b[weight == w], weight[weight == w])[:3]) for w in np.unique(weight)]
-    place, own = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(sizes, sizes)
+    light = weight == weight.min()
+    old = np.argsort(-np.bincount(np.concatenate([a[light], b[light]]), minlength=n), kind="stable")
+    at = np.empty(n, np.int64)
+    at[old] = np.arange(n)
+    a, b = at[a], at[b]
+    doc = np.repeat(np.arange(len(sizes)), sizes)[old]
+    place, own = (np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes))[old], sizes[doc]
     block = max(64, min(width, HISTORY_BYTES // (n * (longest + 2)) * 8))
     sums = np.zeros(n)
     for first in range(0, width, block):
@@ -176,37 +200,73 @@ def _level_sums(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndar
         bits = place[some] - first
         now = np.zeros((n, (min(block, width - first) + 63) // 64), dtype=np.uint64)
         now[some, bits // 64] = np.uint64(1) << (bits % 64).astype(np.uint64)
-        past, counts = [now], [np.bitwise_count(now).sum(axis=1, dtype=np.int64)]
-        total, levels, quiet = np.zeros(n), 0, 0
-        while quiet < longest:
-            new = past[-1].copy()
-            for w, linked, starts, sources in groups:
-                if w <= len(past):
-                    new[linked] |= np.bitwise_or.reduceat(past[-w][sources], starts, axis=0)
-            total += counts[-1]
-            levels += 1
-            counts = [counts[-1], np.bitwise_count(new).sum(axis=1, dtype=np.int64)]
-            quiet = quiet + 1 if np.array_equal(*counts) else 0
-            past = [*past[-longest:], new]
-        final = counts[-1].astype(np.float64)
-        sums += final * levels - total + (np.clip(own - first, 0, block) - final) * own
-    return sums
-
-
-def _relaxed_sums(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Distance sums for any lengths, by relaxing all edges until nothing improves."""
-    linked, starts, sources, weight = _by_target(n, a, b, weight)
-    sums = np.zeros(n)
-    for first in range(0, n, SOURCES_PER_BLOCK):
-        cols = np.arange(first, min(first + SOURCES_PER_BLOCK, n))
-        dist = np.full((n, len(cols)), np.inf)
-        dist[cols, np.arange(len(cols))] = 0
+        rows, past, edges, groups = np.arange(n), [now], (a, b, weight), []
+        wanted = np.clip(own - first, 0, block)
         while True:
-            better = np.minimum(dist[linked], np.minimum.reduceat(dist[sources] + weight[:, None], starts, axis=0))
-            if np.array_equal(better, dist[linked]):
+            left = wanted - np.bitwise_count(past[-1]).sum(axis=1, dtype=np.int64)
+            sums[rows] += left
+            if not left.any():
                 break
-            dist[linked] = better
-        sums[cols] = np.where(np.isinf(dist), n, dist).sum(axis=0)
+            if not groups or np.count_nonzero(left) * 3 < len(rows):
+                going = np.bincount(doc[rows], left, len(sizes))[doc[rows]] > 0
+                if not groups or np.count_nonzero(going) * 2 < len(rows):
+                    number, kept = np.cumsum(going) - 1, going[edges[0]]
+                    edges = number[edges[0][kept]], number[edges[1][kept]], edges[2][kept]
+                    rows, wanted, past = rows[going], wanted[going], [p[going] for p in past]
+                    groups = [(int(w), *_by_rank(*(x[edges[2] == w] for x in edges[:2]))) for w in np.unique(edges[2])]
+                    found = np.empty_like(past[-1])
+            new = past[-1].copy()
+            for w, steps, (rest, starts, sources) in groups:
+                if w > len(past):
+                    break
+                for to, source in steps:
+                    got = np.take(past[-w], source, axis=0, out=found[: len(source)], mode="clip")
+                    new[to] |= got
+                if len(rest):
+                    new[rest] |= np.bitwise_or.reduceat(past[-w][sources], starts, axis=0)
+            past = [*past[len(past) - longest + 1 :], new] if len(past) >= longest else [*past, new]
+    out = np.empty(n)
+    out[old] = sums
+    return out
+
+
+def _far_sums(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Distance sums of one document for whole-number lengths of any size.
+
+    As ``_level_sums``, but only levels at which something can arrive are visited, and a word hands on only the
+    bits that are new to it.  A block is so small that what all words ever hand on fits ``HISTORY_BYTES``.
+    """
+    groups = [(int(w), *_by_target(a[weight == w], b[weight == w])) for w in np.unique(weight)]
+    block = max(64, min(n, int((8 * HISTORY_BYTES / n) ** 0.5) // 64 * 64))
+    sums = np.zeros(n)
+    at = np.full(n, -1)
+    for first in range(0, n, block):
+        own = np.arange(first, min(first + block, n))
+        reached = np.zeros((n, (len(own) + 63) // 64), dtype=np.uint64)
+        reached[own, (own - first) // 64] = np.uint64(1) << ((own - first) % 64).astype(np.uint64)
+        missing, level, due = (n - 1) * len(own), 0, {}
+        rows, fresh = own, reached[own]
+        while missing:
+            at[rows] = np.arange(len(rows))
+            for w, linked, starts, sources in groups:
+                held = at[sources]
+                some = np.flatnonzero(held >= 0)
+                if len(some):
+                    to = np.searchsorted(starts, some, side="right") - 1
+                    new = np.flatnonzero(np.append(True, np.diff(to) != 0))
+                    due.setdefault(level + w, []).append((linked[to[new]], new, held[some], fresh))
+            at[rows] = -1
+            level = min(due)
+            came = due.pop(level)
+            touched = np.unique(np.concatenate([x[0] for x in came]))
+            before = reached[touched]
+            for to, starts, held, bits in came:
+                reached[to] |= np.bitwise_or.reduceat(bits[held], starts, axis=0)
+            fresh = reached[touched] & ~before
+            count = np.bitwise_count(fresh).sum(axis=1, dtype=np.int64)
+            rows, fresh = touched[count > 0], fresh[count > 0]
+            sums[rows] += level * count[count > 0]
+            missing -= int(count.sum())
     return sums
 
 
@@ -327,7 +387,7 @@ def _distance_sums(tokens: np.ndarray, lengths: np.ndarray, window: int, weighte
             sums[nodes] = _level_sums(sizes[alike[part]], *graph)
     for doc in linked[longest > LONGEST_LEVEL]:
         nodes, *graph = _taken(np.array([doc]), *edges)
-        sums[nodes] = _relaxed_sums(len(nodes), *graph)
+        sums[nodes] = _far_sums(len(nodes), *graph)
     return words, sizes, sums
 
 
@@ -338,19 +398,24 @@ def closeness(docs: DataFrame, window: int = 3, weighted: bool = False) -> DataF
     a numpy helper, some documents of about ``TOKENS_AT_ONCE`` words together at a time.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths = batch["tokens"].map(len).to_numpy()
-            batch, lengths = batch[lengths > 0], lengths[lengths > 0]
-            share = (np.cumsum(lengths) - lengths) // TOKENS_AT_ONCE
+            lengths = np.asarray(pc.fill_null(pc.list_value_length(batch["tokens"]), 0)).astype(np.int64)
+            mid, lengths = batch["mid"].filter(pa.array(lengths > 0)), lengths[lengths > 0]
+            token = batch["tokens"].flatten().dictionary_encode("encode")
+            ends = np.append(0, np.cumsum(lengths))
+            share = ends[:-1] // TOKENS_AT_ONCE
             for k in np.unique(share):
-                some = batch[share == k]
-                words, sizes, sums = _distance_sums(np.concatenate(some["tokens"].to_list()), lengths[share == k], window, weighted)
+                first, last = np.searchsorted(share, [k, k + 1])
+                tokens = np.asarray(token.indices[ends[first] : ends[last]])
+                words, sizes, sums = _distance_sums(tokens, lengths[first:last], window, weighted)
                 n = np.repeat(sizes, sizes)
                 value = np.floor(np.where(n > 1, (n - 1) / np.maximum(sums, 1), 0.0) * 100_000 + 0.5) / 100_000
-                yield pd.DataFrame({"mid": np.repeat(some["mid"].to_numpy(), sizes), "term": words, "value": value})
+                columns = [mid.take(pa.array(np.repeat(np.arange(first, last), sizes))), token.dictionary.take(pa.array(words)), pa.array(value)]
+                yield from pa.table(columns, names=["mid", "term", "value"]).to_batches(max_chunksize=ROWS_PER_FRAME)
 
-    return docs.select("mid", "tokens").repartition("mid").mapInPandas(run, "mid bigint, term string, value double")
+    columns = f"mid {docs.schema['mid'].dataType.simpleString()}, term string, value double"
+    return docs.select("mid", "tokens").repartition("mid").mapInArrow(run, columns)
 
 
 def centrality(docs: DataFrame, kind: str = "closeness", window: int = 3, distinct: bool = False) -> DataFrame:

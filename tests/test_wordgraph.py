@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -42,6 +43,37 @@ def test_narrow_and_wide_documents_together(weighted, window):
         at += n
 
 
+@pytest.mark.parametrize("history", [wg.HISTORY_BYTES, 1 << 8])
+def test_lines_repeated_more_often_than_levels(monkeypatch, history):
+    """Edges over 64 long: words behind them only, words with a way around, and several blocks of sources."""
+    monkeypatch.setattr(wg, "HISTORY_BYTES", history)
+    rng = random.Random(5)
+    docs = []
+    for _ in range(6):
+        line = [f"l{i}" for i in range(rng.randint(2, 9))]
+        text = [f"t{rng.randint(0, 80)}" for _ in range(200)]
+        docs += [text + line * rng.randint(66, 150), [w for x in text for w in (line + [x])], line * 70]
+    tokens = np.array([t for d in docs for t in d], object)
+    words, sizes, sums = wg._distance_sums(tokens, np.array([len(d) for d in docs]), 3, True)
+    at = 0
+    for doc, n in zip(docs, sizes):
+        want = brute_closeness(doc, 3, True)
+        got = {w: (n - 1) / s for w, s in zip(words[at : at + n], sums[at : at + n])}
+        assert got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+        at += n
+
+
+def test_long_document_with_a_line_repeated():
+    """One line 100 times in 4,000 other words: relaxing all edges from all words took 43 s."""
+    rng = random.Random(6)
+    text = [f"t{int(4000 * rng.random() ** 1.3)}" for _ in range(12_000)] + [f"t{i}" for i in range(4000)]
+    doc = np.array(text[:8000] + [f"l{i}" for i in range(8)] * 100 + text[8000:], object)
+    began = time.process_time()
+    words, sizes, sums = wg._distance_sums(doc, np.array([len(doc)]), 3, True)
+    assert time.process_time() - began < 20
+    assert len(words) == sizes[0] == 4008 and (sums > 0).all()
+
+
 def test_edges_and_degrees_of_split_documents(spark, monkeypatch):
     """Documents counted a few at a time; rows that share an id stay one document, also at a cut."""
     rng = random.Random(8)
