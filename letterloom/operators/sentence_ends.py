@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from letterloom.functions import text as tx
 from letterloom.operators.reshape import explode_computed
@@ -20,8 +19,9 @@ from letterloom.operators.skew import skew_join, stage
 
 # Thresholds of the method.
 ABBREVIATION, STARTER, COLLOCATION = 0.3, 30.0, 7.88
-WORD = r"^\p{L}+(\.\p{L}+)*$"
+WORD_OR_PERIOD = r"^\p{L}+(\.\p{L}+)*\.?$"
 WITH_PERIOD = r"^\p{L}+(\.\p{L}+)*\.$"
+NO_BLANKS = r"[^ \t\r\n\f]+"
 
 
 @dataclass
@@ -35,15 +35,42 @@ class SentenceModel:
 
 def _type(token: Column) -> Column:
     """The word in lower case without its final period, null for what is no word."""
-    bare = F.regexp_replace(token, r"\.$", "")
-    return F.when(bare.rlike(WORD), F.lower(bare))
+    return F.when(token.rlike(WORD_OR_PERIOD), F.lower(F.regexp_replace(token, r"\.$", "")))
 
 
-def token_counts(docs: DataFrame) -> DataFrame:
-    """(type, n, n_period): occurrences of each word type, and those with a period right after."""
-    tokens = explode_computed(docs, [], F.split(tx.clean_body(F.col("body")), tx.BLANKS), "token")
-    words = tokens.select(_type(F.col("token")).alias("type"), F.endswith("token", F.lit(".")).cast("long").alias("p")).where("type is not null")
-    return words.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("n_period"))
+def split_texts(docs: DataFrame) -> DataFrame:
+    """(mid, sentences, ends) of (mid, body), written once: pieces by the plain rule, and for all but the last what stands around their end.
+
+    An end has the types of the last word and of the one that follows, whether a word and a period end the piece, and whether a capital follows.
+    All pieces but the first start with a word and all but the last end with one.
+    """
+    word = f"^{NO_BLANKS}"
+
+    def words(piece: Column, following: Column) -> Column:
+        last = F.reverse(F.regexp_extract(F.reverse(piece), word, 0))
+        return F.struct(last.alias("last"), F.regexp_extract(following, word, 0).alias("following"))
+
+    def end(pair: Column) -> Column:
+        last, following = pair["last"], pair["following"]
+        fields = {"first": _type(last), "second": _type(following), "period": last.rlike(WITH_PERIOD), "capital": following.rlike(r"^\p{Lu}")}
+        return F.struct(*[value.alias(name) for name, value in fields.items()])
+
+    pieces = docs.select("mid", tx.sentences(tx.clean_body(F.col("body"))).alias("sentences"))
+    n = F.size("sentences")
+    before, after = F.slice("sentences", F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice("sentences", F.lit(2), F.greatest(n, F.lit(0)))
+    return stage(pieces.select("mid", "sentences", F.transform(F.zip_with(before, after, words), end).alias("ends")), "sentence-texts")
+
+
+def token_counts(texts: DataFrame) -> DataFrame:
+    """(type, n, n_period): occurrences of each word type, and those with a period right after.
+
+    Equal words are counted first, so that each is looked at once.
+    """
+    tokens = explode_computed(texts, [], F.split(F.array_join("sentences", " "), tx.BLANKS), "token")
+    tokens = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("times"))
+    period = F.when(F.endswith("token", F.lit(".")), F.col("times")).otherwise(0)
+    words = tokens.select(_type(F.col("token")).alias("type"), "times", period.alias("p")).where("type is not null")
+    return words.groupBy("type").agg(F.sum("times").alias("n"), F.sum("p").alias("n_period"))
 
 
 def abbreviations(counts: DataFrame) -> DataFrame:
@@ -72,22 +99,12 @@ def _log_ratio(a: Column, b: Column, ab: Column, n: Column) -> Column:
     return 2 * (together - apart)
 
 
-def breaks(docs: DataFrame) -> DataFrame:
-    """(mid, pos, sentence, last, following): pieces by the plain rule, their last token, and the next piece's first; null at the end."""
-    pieces = explode_computed(docs, ["mid"], tx.sentences(tx.clean_body(F.col("body"))), "sentence", pos="pos")
-    first = F.regexp_extract("sentence", r"([^ \t\r\n\f]+)", 1)
-    last = F.regexp_extract("sentence", r"([^ \t\r\n\f]+)[ \t\r\n\f]*$", 1)
-    order = Window.partitionBy("mid").orderBy("pos")  # one text
-    return pieces.select("mid", "pos", "sentence", last.alias("last"), F.lead(first).over(order).alias("following"))
-
-
-def learn(docs: DataFrame) -> SentenceModel:
-    """The tables of (mid, body)."""
-    counts = stage(token_counts(docs), "sentence-types")
+def learn(docs: DataFrame, texts: DataFrame | None = None) -> SentenceModel:
+    """The tables of (mid, body); ``texts`` is the result of ``split_texts``, if there is one."""
+    texts = split_texts(docs) if texts is None else texts
+    counts = stage(token_counts(texts), "sentence-types")
     short = stage(abbreviations(counts), "sentence-abbreviations")
-    after = breaks(docs).where("following is not null").select(
-        _type(F.col("last")).alias("first"), _type(F.col("following")).alias("second"), F.col("last").rlike(WITH_PERIOD).alias("period")
-    )
+    after = texts.select(F.explode("ends").alias("e")).select("e.first", "e.second", "e.period")
     known = short.select(F.col("type").alias("first"), F.lit(True).alias("abbreviated"))
     pairs = after.groupBy("first", "second", "period").agg(F.count(F.lit(1)).alias("ab"))
     pairs = stage(pairs.join(known, "first", "left").withColumn("abbreviated", F.coalesce("abbreviated", F.lit(False))), "sentence-pairs")
@@ -108,24 +125,28 @@ def learn(docs: DataFrame) -> SentenceModel:
     return SentenceModel(short, stage(starters, "sentence-starters"), stage(collocations, "sentence-collocations"))
 
 
-def learned_sentences(docs: DataFrame, model: SentenceModel) -> DataFrame:
+def learned_sentences(docs: DataFrame, model: SentenceModel, texts: DataFrame | None = None) -> DataFrame:
     """(mid, pos, sentence) of (mid, body): pieces of the plain rule, joined by a blank where the model sees no end.
 
     A period after an abbreviation ends a sentence only if a capitalised sentence starter follows that does not
-    belong to it.
+    belong to it.  ``texts`` is the result of ``split_texts``, if there is one.  Only ends after abbreviations are
+    joined with the model; a text then meets the list of its pieces that go on.
     """
-    found = stage(breaks(docs), "sentence-breaks")
-    ends = found.where(F.col("last").rlike(WITH_PERIOD) & F.col("following").isNotNull())
-    ends = ends.select("mid", "pos", _type(F.col("last")).alias("first"), _type(F.col("following")).alias("second"), "following")
+    texts = split_texts(docs) if texts is None else texts
+    ends = texts.select("mid", F.posexplode("ends").alias("pos", "e")).where("e.period").select("mid", "pos", "e.first", "e.second", "e.capital")
     ends = skew_join(ends, model.abbreviations.select(F.col("type").alias("first")), ["first"], spread=["mid", "pos"])
     ends = ends.join(model.starters.select(F.col("type").alias("second"), F.lit(True).alias("starts")), "second", "left")
     ends = ends.join(model.collocations.select("first", "second", F.lit(True).alias("belongs")), ["first", "second"], "left")
-    capital = F.col("following").rlike(r"^\p{Lu}")
-    inside = ends.where(F.col("belongs").isNotNull() | F.col("starts").isNull() | ~capital).select("mid", "pos", F.lit(1).alias("inside"))
-    marked = found.select("mid", "pos", "sentence").join(inside, ["mid", "pos"], "left")
-    earlier = Window.partitionBy("mid").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)  # one text
-    number = F.coalesce(F.sum(F.when(F.col("inside").isNull(), 1).otherwise(0)).over(earlier), F.lit(0)).cast("int")
-    joined = marked.withColumn("number", number).groupBy("mid", F.col("number").alias("pos")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))), lambda x: x["sentence"]), " ").alias("sentence")
-    )
-    return joined.select("mid", "pos", "sentence")
+    inside = ends.where(F.col("belongs").isNotNull() | F.col("starts").isNull() | ~F.col("capital"))
+    inside = inside.groupBy("mid").agg(F.collect_list(F.col("pos") + 1).alias("inside"))  # one text
+    marked = texts.where(F.size("sentences") > 0).select("mid", "sentences").join(inside, "mid", "left")
+    n = F.size("sentences")
+    later = F.slice(F.sequence(F.lit(0), n - 1), F.lit(2), n)
+    starts = F.concat(F.array(F.lit(0)), F.array_except(later, F.coalesce("inside", F.array().cast("array<int>"))))
+    marked = marked.select("mid", "sentences", starts.alias("starts"), n.alias("n"))
+
+    def joined(start: Column, k: Column) -> Column:
+        following = F.coalesce(F.get("starts", k + 1), F.col("n"))
+        return F.array_join(F.slice("sentences", start + 1, following - start), " ")
+
+    return explode_computed(marked, ["mid"], F.transform("starts", joined), "sentence", pos="pos")

@@ -143,7 +143,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     docs = v.doc_mail(spark, sf)
-    return se.learned_sentences(docs, se.learn(docs))
+    texts = se.split_texts(docs)
+    return se.learned_sentences(docs, se.learn(docs, texts), texts)
 
 
 @query(

@@ -1,6 +1,8 @@
 """Sentence ends, lemma rules, and topic tables against plain versions."""
 
 import random
+import re
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -37,6 +39,40 @@ def test_planted_abbreviations_do_not_end_sentences(spark):
     assert se.learn(docs.where("false")).abbreviations.count() == 0
 
 
+def test_learned_sentences_equal_plain_ones_without_moving_every_piece(spark):
+    """Odd blanks, empty and null texts; pieces stay in their text, where each was sorted and joined on its own before."""
+    rng = random.Random(11)
+    parts = ["dr.", "e.g.", "The", "the", "end.", "Smith", "x.y.", "ok!", "why?", "...", "a1.", "Äpfel.", "élan", "3.", ".", "end.\u00a0"]
+    rows = [(k, "".join(rng.choice(parts) + rng.choice([" ", " ", "  ", "\n", "\t ", " \r\n"]) for _ in range(rng.randrange(40)))) for k in range(200)]
+    rows += [(300, None), (301, ""), (302, " \n"), (303, " dr. The end. \n"), (304, "\n dr.  the end. Smith"), (305, "dr.")]
+    docs = spark.createDataFrame(rows, "mid long, body string").repartition(4)
+    short, starts, pairs = {"dr", "e.g", "end"}, {"the", "smith"}, {("dr", "smith")}
+    model = se.SentenceModel(
+        spark.createDataFrame([(t, 1.0) for t in short], "type string, score double"),
+        spark.createDataFrame([(t, 40.0) for t in starts], "type string, score double"),
+        spark.createDataFrame([(*p, 9.0) for p in pairs], "first string, second string, score double"),
+    )
+    want = set()
+    for mid, body in rows:
+        body = "".join(c for c in unicodedata.normalize("NFD", body or "") if unicodedata.category(c) != "Mn")
+        pieces = [x for x in re.split(r"(?<=[.!?])[ \t\r\n\f]+", body) if x.strip(" \t\r\n\f")]
+        out = []
+        for k, piece in enumerate(pieces):
+            last, here = re.split(r"[ \t\r\n\f]+", pieces[k - 1])[-1], re.split(r"[ \t\r\n\f]+", piece)[0]
+            bare = [re.sub(r"\.$", "", x).lower() for x in (last, here)]
+            word = re.fullmatch(r"[^\W\d_]+(\.[^\W\d_]+)*\.", last)
+            goes_on = k and word and bare[0] in short and (tuple(bare) in pairs or bare[1] not in starts or not here[0].isupper())
+            out = [*out[:-1], f"{out[-1]} {piece}"] if goes_on else [*out, piece]
+        want |= {(mid, k, x) for k, x in enumerate(out)}
+    got = se.learned_sentences(docs, model)
+    found = [(r.mid, r.pos, r.sentence) for r in got.collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    counts = {r.type: (r.n, r.n_period) for r in se.token_counts(se.split_texts(docs)).collect()}
+    tokens = [t for _, body in rows for t in re.split(r"[ \t\r\n\f]+", body or "")]
+    assert counts["dr"] == (tokens.count("dr."), tokens.count("dr.")) and counts["the"] == (tokens.count("the") + tokens.count("The"), 0)
+
+
 def test_rules_reproduce_held_out_lemmas(spark):
     rng = random.Random(7)
     stems = ["".join(rng.choice("bdfgklmnprt") + rng.choice("aeou") for _ in range(3)) for _ in range(400)]
