@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from letterloom.operators import similarity as sim
+from letterloom.operators import vectors as vec
 from letterloom.operators import vocab as vc
 from letterloom.operators.skew import stage
 
@@ -97,3 +98,30 @@ def test_sizes_do_not_move_lists(spark):
     sizes = sim._whole(vectors).join(owners, "mid").select("user", "_size").groupBy("user").agg(F.sum("_size"))
     plan = sizes._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split("Join")[1].count("size(terms") == 1 and "weights" not in plan.split("LogicalRDD")[0]
+
+
+def test_vectors_of_floats_move_as_floats(spark):
+    """Half the bytes where no digit is lost; all digits where one would be."""
+    counts = spark.createDataFrame([(1, "f", 2.0), (1, "d", 1.0), (2, "f", 1.0), (3, "none", 1.0)], "mid long, term string, weight double")
+    words = spark.createDataFrame([("f", [0.5, -1.25]), ("d", [0.1, 1e300]), ("unused", [1.0, 2.0])], "term string, vector array<double>")
+    found = vec._word_sums(counts, words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array<float>" in plan
+    got = {r.mid: (r.vector, r.known, r.every) for r in found.collect()}
+    assert got == {1: ([0.1 + 1.0, 1e300 - 2.5], 3.0, 3.0), 2: ([0.5, -1.25], 1.0, 1.0), 3: ([0.0, 0.0], 0.0, 1.0)}
+
+
+def test_word_sums_in_rounds(spark, monkeypatch):
+    """Many parts go a few at a time, with the same sums."""
+    for name, value in (("PART_ROWS", 5), ("PARTS_AT_ONCE", 2)):
+        monkeypatch.setattr(vec, name, value)
+    rounds, stage_it = [], vec.stage
+    monkeypatch.setattr(vec, "stage", lambda df, label: rounds.append(label) or stage_it(df, label))
+    counts = spark.range(40).select((F.col("id") % 13).alias("mid"), F.concat(F.lit("t"), F.col("id") % 7).alias("term"), F.lit(1.0).alias("weight"))
+    words = spark.createDataFrame([(f"t{k}", [float(k), 0.1 * k]) for k in range(6)], "term string, vector array<double>")
+    got = {r.mid: (r.vector, r.known, r.every) for r in vec._word_sums(counts, words).collect()}
+    assert rounds == ["moved-words"] + ["word-sums"] * 4 and len(got) == 13
+    for m, (vector, known, every) in got.items():
+        own = [k % 7 for k in range(40) if k % 13 == m]
+        assert every == len(own) and known == sum(k < 6 for k in own)
+        assert all(abs(x - y * sum(k for k in own if k < 6)) < 1e-12 for x, y in zip(vector, (1.0, 0.1)))
