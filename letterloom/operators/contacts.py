@@ -5,10 +5,12 @@ All take a flat log (sender, recipient, mid, ...) unless they say otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.operators.skew import rank_within, skew_join, spread_out, top_k
+from letterloom.operators.skew import hot_keys, rank_within, skew_join, spread_out, top_k
+
+LIST = 10_000  # contacts that a message meets as one list
 
 
 def pair_messages(flat: DataFrame, n: str = "n") -> DataFrame:
@@ -103,11 +105,31 @@ def candidates(messages: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def contacts_minus_recipients(messages: DataFrame, contacts: DataFrame, flat: DataFrame) -> DataFrame:
-    """(mid, contact): contacts of the sender that did not get the message."""
-    got = flat.select("mid", F.col("recipient").alias("contact"))
-    return candidates(messages.select("sender", "mid"), contacts).select("mid", "contact").join(
-        got, ["mid", "contact"], "left_anti"
-    )
+    """(mid, contact): contacts of the sender that did not get the message.
+
+    A message takes the list of its recipients along and meets lists of up to about ``LIST`` contacts, so neither its candidates
+    nor what is left of them move.  A contact is in the list that its hash says, and a message's recipients go
+    with it in lists by the same hash.  ``contacts`` has a pair once.
+    """
+    contacts = contacts.select(F.col("user").alias("sender"), "contact")
+    lists = contacts.groupBy("sender").agg(F.ceil(F.count(F.lit(1)) / LIST).cast("int").alias("_lists")).where("_lists > 1")
+    lists = F.broadcast(lists)  # of them there are fewer than contacts / LIST
+
+    def place(contact: Column) -> Column:
+        return F.pmod(F.xxhash64(contact), F.col("_lists")).cast("int")
+
+    held = contacts.join(lists, "sender", "left").na.fill(1, ["_lists"]).withColumn("_list", place(F.col("contact")))
+    held = held.groupBy("sender", "_list").agg(F.collect_list(F.struct("contact")).alias("_contacts"))  # a struct, as lists leave out nulls
+
+    same = F.col("recipient").cast(contacts.schema["contact"].dataType).alias("recipient")
+    got = flat.select("mid", same).where("recipient is not null").groupBy("mid").agg(F.collect_set("recipient").alias("_got"))
+    asked = messages.select("sender", "mid").join(got, "mid", "left").join(lists, "sender", "left").na.fill(1, ["_lists"])
+    asked = asked.withColumn("_list", F.explode(F.sequence(F.lit(0), F.col("_lists") - 1)))
+    own = F.when(F.col("_lists") > 1, F.filter("_got", lambda c: place(c) == F.col("_list"))).otherwise(F.col("_got"))
+    none = F.array().cast(got.schema["_got"].dataType)
+    asked = asked.select("sender", "_list", "mid", F.coalesce(own, none).alias("_got"))
+    met = skew_join(asked, held, ["sender", "_list"], spread=["mid"], hot=hot_keys(messages, ["sender"]))
+    return met.select("mid", F.explode(F.array_except(F.col("_contacts.contact"), "_got")).alias("contact"))
 
 
 def messages_to_user(nested: DataFrame, user: str) -> DataFrame:

@@ -4,8 +4,10 @@ import math
 import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from letterloom.operators import contacts as ct
 from letterloom.operators import similarity as sim
 from letterloom.operators import vectors as vec
 from letterloom.operators import vocab as vc
@@ -125,3 +127,20 @@ def test_word_sums_in_rounds(spark, monkeypatch):
         own = [k % 7 for k in range(40) if k % 13 == m]
         assert every == len(own) and known == sum(k < 6 for k in own)
         assert all(abs(x - y * sum(k for k in own if k < 6)) < 1e-12 for x, y in zip(vector, (1.0, 0.1)))
+
+
+@pytest.mark.parametrize("size", [10_000, 3])
+def test_contacts_without_recipients_in_lists(spark, monkeypatch, size):
+    """Candidates do not move; nulls, repeats, unknown senders and a sender of many contacts are as in an anti join."""
+    monkeypatch.setattr(ct, "LIST", size)
+    contacts = [("a", c) for c in range(20)] + [("a", None), ("b", 1), ("b", 2), (None, 5), ("d", 7)]
+    messages = [("a", m) for m in range(15)] + [("a", 3), ("b", 20), ("b", None), (None, 21), ("c", 22), ("d", 23)]
+    flat = [(m % 30, (m * 7) % 19) for m in range(60)] + [(0, 4), (0, 4), (1, None), (None, 1), (23, 7), (20, 2)]
+    found = ct.contacts_minus_recipients(
+        spark.createDataFrame(messages, "sender string, mid long"), spark.createDataFrame(contacts, "user string, contact long"), spark.createDataFrame(flat, "mid long, recipient int")
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "Join" not in plan.split("Generate")[0]
+    got = {(m, c) for m, c in flat if m is not None and c is not None}
+    want = Counter((m, c) for s, m in messages for u, c in contacts if s is not None and s == u and (m, c) not in got)
+    assert Counter(map(tuple, found.collect())) == want
