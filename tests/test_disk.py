@@ -144,3 +144,18 @@ def test_contacts_without_recipients_in_lists(spark, monkeypatch, size):
     got = {(m, c) for m, c in flat if m is not None and c is not None}
     want = Counter((m, c) for s, m in messages for u, c in contacts if s is not None and s == u and (m, c) not in got)
     assert Counter(map(tuple, found.collect())) == want
+
+
+def test_means_move_as_lists(spark, monkeypatch):
+    """Terms of means go to their cells without the names of user and contact on each; also where a pair stands for the user."""
+    monkeypatch.setattr(sim, "LIST_ROWS", 4)
+    rows = [(f"u{k % 2}", f"c{k % 3}" if k % 3 else None, k, 0.5 * k) for k in range(24)]
+    means = spark.createDataFrame(rows, "user string, contact string, term int, weight double").coalesce(1)
+    for user in (F.col("user"), F.struct("user", "contact").alias("user")):
+        packed = sim._in_lists(means.select(user, "contact", "term", "weight"))
+        assert packed.schema["terms"].dataType.simpleString() == "array<int>"
+        found = [(r.user, r.contact, t, w) for r in packed.collect() for t, w in zip(r.terms, r.weights, strict=True)]
+        assert packed.count() < 24 and Counter((u if isinstance(u, str) else u.user, c, t, w) for u, c, t, w in found) == Counter(rows)
+    found = sim.text_similarity(spark.createDataFrame([(1, "u0", "c2")], "mid long, user string, contact string"), spark.createDataFrame([(1, [2], [1.0], 1.0)], "mid long, terms array<int>, weights array<double>, norm double"), means, True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and found.count() == 1
